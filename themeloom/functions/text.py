@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 COPYRIGHT_TAIL = r"©[^\n]*"
 KEYWORD_TAIL = r"(?iu)keywords?:[^\n]*"
 NON_ASCII_RUN = r"[^\x00-\x7F]+"
-SPACE_RUN = r"[\t-\r\x1c-\x20]+"
-# every character that is neither a-z nor white space (ASCII and Unicode)
-NOT_TOKEN_CHAR = (
-    r"[^a-z\t-\r\x1c-\x20\x85\xa0  -     　]"
-)
-TOKEN_BREAK = r"[\t-\r\x1c-\x20\x85\xa0  -     　]+"
+ASCII_SPACES = r"\t-\r\x1c-\x20"
+UNICODE_SPACES = r"\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE_RUN = f"[{ASCII_SPACES}]+"
+NOT_TOKEN_CHAR = f"[^a-z{ASCII_SPACES}{UNICODE_SPACES}]"
+WORD_BREAK = f"[{ASCII_SPACES}{UNICODE_SPACES}]+"
+NOT_SPACE_RUN = f"[^{ASCII_SPACES}{UNICODE_SPACES}]+"
 WORD_CHARS = r"[\p{L}\p{N}_]{2,}"
 MIN_TOKEN_LENGTH = 3
 
@@ -34,14 +34,12 @@ def clean_text(text: Column, null_text: str = "") -> Column:
 
 def whitespace_words(text: Column) -> Column:
     """Words between white space, empty pieces removed."""
-    return F.filter(F.split(text, TOKEN_BREAK), lambda w: w != "")
+    return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
 
 
 def count_words(text: Column) -> Column:
     """Number of words between white space, without building the word array twice."""
-    return F.regexp_count(
-        text, F.lit(r"[^\t-\r\x1c-\x20\x85\xa0  -     　]+")
-    )
+    return F.regexp_count(text, F.lit(NOT_SPACE_RUN))
 
 
 def word_terms(text: Column) -> Column:
@@ -71,7 +69,7 @@ def tokens(text: Column, stopwords=(), min_length: int = MIN_TOKEN_LENGTH) -> Co
         long_enough = F.length(word) >= min_length
         return long_enough & ~word.isin(*stop) if stop else long_enough
 
-    return F.filter(F.split(kept, TOKEN_BREAK), keep)
+    return F.filter(F.split(kept, WORD_BREAK), keep)
 
 
 def title_case(text: Column) -> Column:

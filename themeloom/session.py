@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Tables whose size was counted first and found at or below this many rows may be
@@ -45,12 +45,23 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_dense_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Add a gap-free, zero-based index that follows ``order``.
+def fits_one_task(df: DataFrame, rows: int = ONE_TASK_ROWS) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; stops counting beyond that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def with_dense_index(
+    df: DataFrame, order: list[Column], name: str, one_task_rows: int = ONE_TASK_ROWS, rows: int | None = None
+) -> DataFrame:
+    """Add a gap-free, zero-based index that follows ``order``, which must be a total order.
 
     A range-partitioned sort numbers the rows inside each partition; the offsets of the
-    partitions come from a table with one row per partition. No single-partition window.
+    partitions come from a table with one row per partition. Only a table whose size was checked
+    is numbered by a single-partition window. ``rows`` is the count, if it is known already.
     """
+    if rows <= one_task_rows if rows is not None else fits_one_task(df, one_task_rows):
+        place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
+        return df.withColumn(name, (place - 1).cast("bigint"))
     ranked = materialize(
         df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()), "index"
     )
