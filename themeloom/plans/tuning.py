@@ -38,7 +38,6 @@ class TuningResult:
 
 def size_range(counts: DataFrame, n: str = "n") -> DataFrame:
     """Add the candidate sizes of a corpus of ``n`` documents as the array ``sizes``."""
-    lo, hi = F, F
     below, first, past = SIZE_RANGES[0]
     lo, hi = F.when(F.col(n) < below, first), F.when(F.col(n) < below, past)
     for below, first, past in SIZE_RANGES[1:]:
