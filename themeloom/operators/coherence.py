@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from themeloom.session import materialize
+
 # Fixed values of the published measures
 WINDOW = {"c_v": 110, "c_npmi": 10, "c_uci": 10}
 WORDS_SCORED = 10
@@ -30,8 +32,8 @@ def _pairs(terms: DataFrame) -> DataFrame:
     )
 
 
-def window_counts(token_arrays: DataFrame, topic_terms: DataFrame, size: int, k: int = WORDS_SCORED) -> DataFrame:
-    """Windows holding both words of each pair: ``(topic, rank_a, rank_b, a, b, both)``.
+def window_unions(token_arrays: DataFrame, topic_terms: DataFrame, size: int, k: int = WORDS_SCORED) -> DataFrame:
+    """Windows holding at least one word of each pair: ``(topic, rank_a, rank_b, either)``.
 
     Occurrences of topic words are sent to their document once; the pairs are made after that
     shuffle, where the sort for the running interval end takes place.
@@ -52,44 +54,48 @@ def window_counts(token_arrays: DataFrame, topic_terms: DataFrame, size: int, k:
     )
     order = Window.partitionBy("doc_id", "topic", "rank_a", "rank_b").orderBy("high", "low")
     start = F.greatest("low", F.coalesce(F.lag("high").over(order) + 1, F.lit(0)))
-    unions = (
+    return (
         located.join(keyed, "term")
         .withColumn("added", F.greatest(F.lit(0), F.col("high") - start + 1))
         .groupBy("topic", "rank_a", "rank_b").agg(F.sum("added").alias("either"))
     )
-    return _both_from_unions(pairs, unions)
 
 
-def document_counts(token_arrays: DataFrame, topic_terms: DataFrame, k: int = WORDS_SCORED) -> DataFrame:
-    """The same counts with whole documents instead of windows."""
+def document_unions(token_arrays: DataFrame, topic_terms: DataFrame, k: int = WORDS_SCORED) -> DataFrame:
+    """The same with whole documents instead of windows.
+
+    A document counts once for every pair with at least one of its words: all pairs less those
+    among its missing words. So the words present, at most ``k`` per topic, make the rows.
+    """
     terms = _scored_terms(topic_terms, k)
-    pairs = _pairs(terms)
-    present = token_arrays.select("doc_id", F.explode(F.array_distinct("tokens")).alias("term")).join(
-        terms, "term"
-    )
-    # at most k distinct words of a topic meet in one document
-    in_doc = present.groupBy("doc_id", "topic").agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
-    both = in_doc.select("topic", "ranks", F.explode("ranks").alias("rank_a")).select(
-        "topic", "rank_a", F.explode("ranks").alias("rank_b")
-    ).filter("rank_a <= rank_b").groupBy("topic", "rank_a", "rank_b").agg(F.count("*").alias("both"))
-    return pairs.join(both, ["topic", "rank_a", "rank_b"], "left").select(
-        "topic", "rank_a", "rank_b", "a", "b", F.coalesce("both", F.lit(0)).alias("both")
-    )
+    present = token_arrays.select("doc_id", F.explode(F.array_distinct("tokens")).alias("term")).join(terms, "term")
+    in_doc = present.groupBy("doc_id", "topic").agg(F.collect_set("rank").alias("here"))
+    pairs = _pairs(terms).select("topic", "rank_a", "rank_b")
+    hit = F.array_contains("here", F.col("rank_a")) | F.array_contains("here", F.col("rank_b"))
+    # documents with the same words present are one row from here on
+    kinds = in_doc.groupBy("topic", F.sort_array("here").alias("here")).agg(F.count("*").alias("n"))
+    return kinds.join(pairs, "topic").filter(hit).groupBy("topic", "rank_a", "rank_b").agg(F.sum("n").alias("either"))
 
 
-def _both_from_unions(pairs: DataFrame, unions: DataFrame) -> DataFrame:
-    found = pairs.join(unions, ["topic", "rank_a", "rank_b"], "left").withColumn(
-        "either", F.coalesce("either", F.lit(0))
-    )
-    single = found.filter("rank_a = rank_b")
-    of_a = single.select("topic", "rank_a", F.col("either").alias("of_a"))
-    of_b = single.select("topic", "rank_b", F.col("either").alias("of_b"))
+def joint_counts(unions: DataFrame) -> DataFrame:
+    """Both orders of each pair of known words: ``(topic, rank_a, rank_b, both, of_a, of_b)``.
+
+    A topic has at most k * k rows; they meet once by topic and stay there.
+    """
+    both_ways = unions.unionByName(
+        unions.filter("rank_a <> rank_b").select(
+            "topic", F.col("rank_b").alias("rank_a"), F.col("rank_a").alias("rank_b"), "either"
+        )
+    ).repartition("topic")
+    single = F.when(F.col("rank_a") == F.col("rank_b"), F.col("either"))
+    counted = both_ways.withColumns({
+        "of_a": F.max(single).over(Window.partitionBy("topic", "rank_a")),
+        "of_b": F.max(single).over(Window.partitionBy("topic", "rank_b")),
+    })
     both = F.when(F.col("rank_a") == F.col("rank_b"), F.col("either")).otherwise(
         F.col("of_a") + F.col("of_b") - F.col("either")
     )
-    return found.join(of_a, ["topic", "rank_a"]).join(of_b, ["topic", "rank_b"]).select(
-        "topic", "rank_a", "rank_b", "a", "b", both.alias("both")
-    )
+    return counted.filter("of_a > 0 AND of_b > 0").select("topic", "rank_a", "rank_b", both.alias("both"), "of_a", "of_b")
 
 
 def total_windows(token_arrays: DataFrame, size: int) -> DataFrame:
@@ -99,21 +105,6 @@ def total_windows(token_arrays: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _probabilities(counts: DataFrame, total: Column) -> DataFrame:
-    """Both orders of each pair with joint and single probabilities."""
-    single = counts.filter("rank_a = rank_b")
-    p_a = single.select("topic", "rank_a", (F.col("both") / total).alias("p_a"))
-    p_b = single.select("topic", "rank_b", (F.col("both") / total).alias("p_b"))
-    both_ways = counts.select("topic", "rank_a", "rank_b", "both").unionByName(
-        counts.filter("rank_a <> rank_b").select(
-            "topic", F.col("rank_b").alias("rank_a"), F.col("rank_a").alias("rank_b"), "both"
-        )
-    )
-    return both_ways.withColumn("p", F.col("both") / total).join(p_a, ["topic", "rank_a"]).join(
-        p_b, ["topic", "rank_b"]
-    )
-
-
 def _pmi() -> Column:
     """log((p + small) / (p_a p_b)); 0 for words that never occur."""
     return F.when(
@@ -136,47 +127,39 @@ def topic_coherence(
     do not occur in the texts do not count.
     """
     if measure == "u_mass":
-        return _u_mass(token_arrays, topic_terms, k)
-    if measure not in WINDOW:
+        unions = document_unions(token_arrays, topic_terms, k)
+        total = token_arrays.agg(F.count("*")).scalar()
+    elif measure in WINDOW:
+        unions = window_unions(token_arrays, topic_terms, WINDOW[measure], k)
+        total = total_windows(token_arrays, WINDOW[measure]).scalar()
+    else:
         raise ValueError(f"unknown coherence measure: {measure}")
-    counts = _known_only(window_counts(token_arrays, topic_terms, WINDOW[measure], k))
-    total = total_windows(token_arrays, WINDOW[measure]).scalar()
-    pairs = _probabilities(counts, total)
+    # one small row per topic and pair, read twice below
+    counts = joint_counts(materialize(unions, "unions"))
+    pairs = counts.select(
+        "topic", "rank_a", "rank_b", (F.col("both") / total).alias("p"),
+        (F.col("of_a") / total).alias("p_a"), (F.col("of_b") / total).alias("p_b"),
+    )
     if measure == "c_v":
         return _c_v(pairs)
-    value = _npmi() if measure == "c_npmi" else _pmi()
+    value = {"c_npmi": _npmi(), "c_uci": _pmi(), "u_mass": F.log((F.col("p") + SMALL) / F.col("p_b"))}[measure]
     return pairs.filter("rank_a > rank_b").groupBy("topic").agg(F.avg(value).alias("coherence"))
 
 
-def _known_only(counts: DataFrame) -> DataFrame:
-    """Pairs of words that both occur somewhere."""
-    known = counts.filter("rank_a = rank_b AND both > 0")
-    a = known.select("topic", "rank_a")
-    b = known.select("topic", F.col("rank_b"))
-    return counts.join(a, ["topic", "rank_a"], "left_semi").join(b, ["topic", "rank_b"], "left_semi")
-
-
 def _c_v(pairs: DataFrame) -> DataFrame:
     """Mean cosine between each word's vector and the sum of all vectors of the topic."""
-    vectors = pairs.select("topic", "rank_a", "rank_b", _npmi().alias("x"))
-    sums = vectors.groupBy("topic", "rank_b").agg(F.sum("x").alias("s"))
-    length = sums.groupBy("topic").agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("ls"))
-    per_word = vectors.join(sums, ["topic", "rank_b"]).groupBy("topic", "rank_a").agg(
-        F.sum(F.col("x") * F.col("s")).alias("product"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("lx")
+    summed = pairs.select("topic", "rank_a", "rank_b", _npmi().alias("x")).withColumn(
+        "s", F.sum("x").over(Window.partitionBy("topic", "rank_b"))
+    )
+    own = F.when(F.col("rank_a") == F.col("rank_b"), F.col("s") * F.col("s"))
+    sized = summed.withColumn("ls", F.sqrt(F.sum(own).over(Window.partitionBy("topic"))))
+    per_word = sized.groupBy("topic", "rank_a").agg(
+        F.sum(F.col("x") * F.col("s")).alias("product"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("lx"),
+        F.first("ls").alias("ls"),
     )
     norm = F.col("lx") * F.col("ls")
     cosine = F.when(norm > 0, F.col("product") / norm).otherwise(F.lit(0.0))
-    return per_word.join(length, "topic").groupBy("topic").agg(F.avg(cosine).alias("coherence"))
-
-
-def _u_mass(token_arrays: DataFrame, topic_terms: DataFrame, k: int) -> DataFrame:
-    """Mean of log((D(a, b) + small) / D(b)) over pairs whose second word ranks higher."""
-    counts = _known_only(document_counts(token_arrays, topic_terms, k))
-    total = token_arrays.agg(F.count("*")).scalar()
-    pairs = _probabilities(counts, total).filter("rank_a > rank_b")
-    return pairs.groupBy("topic").agg(
-        F.avg(F.log((F.col("p") + SMALL) / F.col("p_b"))).alias("coherence")
-    )
+    return per_word.groupBy("topic").agg(F.avg(cosine).alias("coherence"))
 
 
 def model_coherence(per_topic: DataFrame, too_few: float | None) -> DataFrame:

@@ -116,19 +116,18 @@ def term_counts(docs: DataFrame, text: str = "doc", stopwords=()) -> DataFrame:
     return word_term_rows(docs, text, stopwords, keep=()).groupBy("term").agg(F.count("*").alias("n"))
 
 
+def _runs(words: Column, n: int) -> Column:
+    """Every run of ``n`` neighbouring words, joined by blanks."""
+    if n == 1:
+        return words
+    starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+
 def ngram_array(words: Column, n_min: int, n_max: int) -> Column:
     """All runs of ``n_min`` to ``n_max`` neighbouring words, shorter ones first."""
-    parts = [
-        words if n == 1 else F.when(
-            F.size(words) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.size(words) - (n - 1)),
-                lambda i, n=n: F.array_join(F.slice(words, i, n), " "),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(n_min, n_max + 1)
-    ]
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+    return F.concat(*[_runs(words, n) for n in range(n_min, n_max + 1)])
 
 
 def with_ngrams(token_arrays: DataFrame, n_min: int = 1, n_max: int = 3, keep=("doc_id",)) -> DataFrame:
