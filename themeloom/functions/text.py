@@ -12,9 +12,15 @@ NON_ASCII_RUN = r"[^\x00-\x7F]+"
 ASCII_SPACES = r"\t-\r\x1c-\x20"
 UNICODE_SPACES = r"\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE_RUN = f"[{ASCII_SPACES}]+"
-NOT_TOKEN_CHAR = f"[^a-z{ASCII_SPACES}{UNICODE_SPACES}]"
-WORD_BREAK = f"[{ASCII_SPACES}{UNICODE_SPACES}]+"
-NOT_SPACE_RUN = f"[^{ASCII_SPACES}{UNICODE_SPACES}]+"
+# Letters and blanks are spelled out: single characters are looked up in a bit table by the regular
+# expression engine, ranges are tested one by one.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+SINGLE_SPACES = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f "
+NOT_TOKEN_CHAR = f"[^{LETTERS}{SINGLE_SPACES}]+"
+WIDE_SPACES = "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+NOT_LETTERS = f"[^{LETTERS}]+"
+WORD_BREAK = f"[{SINGLE_SPACES}{UNICODE_SPACES}]+"
+NOT_SPACE_RUN = f"[^{SINGLE_SPACES}{UNICODE_SPACES}]+"
 WORD_CHARS = r"[\p{L}\p{N}_]{2,}"
 MIN_TOKEN_LENGTH = 3
 
@@ -62,14 +68,18 @@ def tokens(text: Column, stopwords=(), min_length: int = MIN_TOKEN_LENGTH) -> Co
     Characters outside a-z are deleted rather than blanked: "state-of-the-art" gives
     "stateoftheart" and "don't" gives "dont".
     """
-    kept = F.regexp_replace(F.lower(text), NOT_TOKEN_CHAR, "")
+    lowered = F.lower(text)
+    beyond_ascii = F.octet_length(text) != F.length(text)
+    spaced = F.when(beyond_ascii, F.translate(lowered, WIDE_SPACES, " " * len(WIDE_SPACES))).otherwise(lowered)
+    kept = F.regexp_replace(spaced, NOT_TOKEN_CHAR, "")
     stop = sorted(set(stopwords))
 
     def keep(word: Column) -> Column:
         long_enough = F.length(word) >= min_length
         return long_enough & ~word.isin(*stop) if stop else long_enough
 
-    return F.filter(F.split(kept, WORD_BREAK), keep)
+    # only letters and white space are left
+    return F.filter(F.split(kept, NOT_LETTERS), keep)
 
 
 def title_case(text: Column) -> Column:

@@ -31,9 +31,9 @@ def first_words(words: Column, n: int = WORDS_COMPARED) -> Column:
 
 
 def _first_spellings(words: Column) -> Column:
-    lowered = F.transform(words, F.lower)
+    lowered = F.transform(words, lambda w: F.lower(w))
     kept = F.filter(words, lambda w, i: F.array_position(lowered, F.lower(w)) == i + 1)
-    return F.transform(kept, F.trim)
+    return F.transform(kept, lambda w: F.trim(w))
 
 
 def representation_words(df: DataFrame, column: str) -> Column:
@@ -46,7 +46,7 @@ def representation_words(df: DataFrame, column: str) -> Column:
     col = F.col(column)
     nothing = F.array().cast("array<string>")
     if isinstance(kind, T.StringType):
-        words = F.when(col != "", F.transform(F.split(col, ","), F.trim))
+        words = F.when(col != "", F.transform(F.split(col, ","), lambda w: F.trim(w)))
     elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
         first = kind.elementType.fieldNames()[0]
         words = F.transform(col, lambda item: item[first].cast("string"))

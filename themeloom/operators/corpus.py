@@ -16,6 +16,7 @@ PREVIEW_CHARS = 400
 SAMPLE_ROWS = 5000
 SAMPLE_SEED = 42
 VALID_TOPIC_DOCS = 3
+GUARD_ROWS = 100
 
 
 def clean_documents(df: DataFrame, columns=REQUIRED_COLUMNS, null_text: str = "") -> DataFrame:
@@ -47,20 +48,40 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def require_min_corpus(df: DataFrame, rows: int = MIN_CORPUS_ROWS) -> DataFrame:
     """Fail when fewer than ``rows`` rows are left; never counts the whole table."""
-    if len(df.limit(rows).take(rows)) < rows:
+    if len(df.take(rows)) < rows:
         raise ValueError(MIN_CORPUS_MESSAGE)
     return df
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """Keep Spark from copying costly columns into the filters above them.
+
+    A filter is pushed through a projection by repeating its expressions; it is not pushed through a
+    generator, so wrapping the row into a one-element array evaluates them once.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
+def _kept_rows(df: DataFrame, columns, null_text: str) -> DataFrame:
+    return non_empty(drop_null_rows(_once(clean_documents(df, columns, null_text))), columns)
+
+
 def prepare(df: DataFrame, columns=REQUIRED_COLUMNS, null_text: str = "") -> DataFrame:
     """The lazy part of preprocessing: clean, drop nulls, drop empties, drop copies."""
-    cleaned = clean_documents(df, columns, null_text)
-    return drop_copies(non_empty(drop_null_rows(cleaned), columns))
+    return drop_copies(_kept_rows(df, columns, null_text))
 
 
 def preprocess(df: DataFrame, columns=REQUIRED_COLUMNS, null_text: str = "") -> DataFrame:
-    """``prepare`` plus the guard against a corpus that is too small; columns stay the same."""
-    return require_min_corpus(prepare(df, columns, null_text))
+    """``prepare`` plus the guard against a corpus that is too small; columns stay the same.
+
+    A look at a few rows settles the guard for any real corpus; only if those hold fewer than five
+    different texts is the prepared table itself asked.
+    """
+    prepared = prepare(df, columns, null_text)
+    look = _kept_rows(df, columns, null_text).select(F.xxhash64(*columns)).take(GUARD_ROWS)
+    if len({r[0] for r in look}) < MIN_CORPUS_ROWS:
+        require_min_corpus(prepared)
+    return prepared
 
 
 def combine_docs(df: DataFrame, columns=REQUIRED_COLUMNS, name: str = "doc") -> DataFrame:

@@ -14,7 +14,7 @@ from themeloom.operators import assign, coherence, corpus, density, drift, neigh
 from themeloom.operators.forest import minimum_spanning_forest
 from themeloom.plans import fit, monitor, registry, train, tuning
 from themeloom.plans.profile import profile_report
-from themeloom.session import materialize, work_path
+from themeloom.session import materialize, spread, work_path
 from themeloom.sources import documents, lexicons, logs
 from themeloom.streaming.assign import assign_stream
 from themeloom.streaming.drift import drift_stream, read_drift_history
@@ -48,7 +48,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Title = first line, Abstract = the rest."""
     text = F.col("text")
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select(
         "doc_id", X.title_line(text).alias("Title"), X.body_lines(text).alias("Abstract")
     )
 
@@ -78,7 +78,8 @@ def size_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return doc_tokens(spark, sf).join(given_topics(spark, sf), "doc_id")
+    """Tokens with their given topic, written once because the queries below read them repeatedly."""
+    return materialize(doc_tokens(spark, sf).join(given_topics(spark, sf), "doc_id"), "topic-tokens")
 
 
 def topic_weights(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,7 +171,9 @@ def stopword_profile(spark, sf):
 
 @query
 def clean_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.clean_text(F.col("text")).alias("text"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", X.clean_text(F.col("text")).alias("text")
+    )
 
 
 @query
@@ -255,7 +258,7 @@ def vocabulary(spark, sf):
 
 @query
 def term_counts(spark, sf):
-    return tokens.term_counts(table(spark, sf, "documents"), "text", STOPWORDS)
+    return tokens.term_counts(spread(table(spark, sf, "documents").select("text")), "text", STOPWORDS)
 
 
 @query
@@ -417,8 +420,9 @@ def _external_labels(spark, sf):
 
 
 def _plain_info(spark, sf):
-    frequency = profile.topic_frequency(given_topics(spark, sf).join(prepared(spark, sf).select("doc_id"), "doc_id"))
-    words = topic_words(spark, sf)
+    own = topic_tokens(spark, sf)
+    frequency = profile.topic_frequency(own)
+    words = terms.words_by_topic(terms.top_terms(terms.ctfidf(terms.class_tf(own))))
     return frequency.join(words, "topic", "left").withColumn("name", W.default_name(F.col("topic"), F.col("words")))
 
 
@@ -458,19 +462,21 @@ def topic_top_words(spark, sf):
 
 @query
 def representative_docs(spark, sf):
-    scores = terms.representative_scores(topic_tokens(spark, sf), topic_weights(spark, sf))
-    return terms.representative_docs(scores, digits=BEST_DIGITS)
+    own = topic_tokens(spark, sf)
+    weights = materialize(terms.ctfidf(terms.class_tf(own)), "weights")
+    return terms.representative_docs(terms.representative_scores(own, weights), digits=BEST_DIGITS)
 
 
 @query
 def topic_info(spark, sf):
-    scores = terms.representative_scores(topic_tokens(spark, sf), topic_weights(spark, sf))
-    best = terms.representative_docs(scores, digits=BEST_DIGITS).withColumnRenamed("doc_id", "best")
-    by_topic = best.groupBy("topic").agg(
+    own = topic_tokens(spark, sf)
+    weights = materialize(terms.ctfidf(terms.class_tf(own)), "weights")
+    best = terms.representative_docs(terms.representative_scores(own, weights), digits=BEST_DIGITS)
+    by_topic = best.withColumnRenamed("doc_id", "best").groupBy("topic").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "best"))), lambda r: r["best"].cast("string")).alias("docs")
     )
-    frequency = profile.topic_frequency(given_topics(spark, sf).join(prepared(spark, sf).select("doc_id"), "doc_id"))
-    info = terms.topic_info(frequency, topic_words(spark, sf), by_topic, _external_labels(spark, sf))
+    words = terms.words_by_topic(terms.top_terms(weights))
+    info = terms.topic_info(profile.topic_frequency(own), words, by_topic, _external_labels(spark, sf))
     return info.select(
         "topic", "count", "name", joined("representation").alias("representation"),
         joined("representative_docs").alias("representative_docs"),
@@ -479,11 +485,11 @@ def topic_info(spark, sf):
 
 @query
 def rerank_keywords(spark, sf):
-    both = doc_tokens(spark, sf).join(vectors.attach_embeddings(
+    both = materialize(doc_tokens(spark, sf).join(vectors.attach_embeddings(
         given_topics(spark, sf), table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), 64
-    ), "doc_id")
+    ), "doc_id"), "tokens-and-vectors")
     own = both.select("doc_id", "topic", "tokens")
-    weights = terms.ctfidf(terms.class_tf(own))
+    weights = materialize(terms.ctfidf(terms.class_tf(own)), "weights")
     best = terms.representative_docs(terms.representative_scores(own, weights), digits=BEST_DIGITS)
     candidates = terms.top_terms(weights, terms.RERANK_CANDIDATES)
     return rerank.rerank_keywords(candidates, own, both.select("doc_id", "embedding"), best, digits=BEST_DIGITS)
@@ -568,8 +574,8 @@ def topic_probabilities(spark, sf):
 
 
 def _coherence(spark, sf, measure):
-    words = materialize(top_terms(spark, sf), "terms")
-    texts = materialize(doc_tokens(spark, sf), "tokens")
+    texts = topic_tokens(spark, sf)
+    words = materialize(terms.top_terms(terms.ctfidf(terms.class_tf(texts))), "terms")
     per_topic = coherence.topic_coherence(texts, words, measure)
     return per_topic.select("topic", (F.round("coherence", 6) + F.lit(0.0)).alias("coherence"))
 

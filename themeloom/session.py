@@ -45,6 +45,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer partitions than cores to all cores.
+
+    Only touches small inputs in few files; a large table has more splits than that and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_one_task(df: DataFrame, rows: int = ONE_TASK_ROWS) -> bool:
     """Whether ``df`` has at most ``rows`` rows; stops counting beyond that."""
     return df.limit(rows + 1).count() <= rows
