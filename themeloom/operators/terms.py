@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from themeloom.functions.words import OUTLIER_TOPIC
 from themeloom.operators.tokens import bag_of_words, token_rows
+from themeloom.session import materialize
 
 # Fixed values
 WORDS_PER_TOPIC = 10
@@ -24,9 +25,11 @@ def ctfidf(tf: DataFrame) -> DataFrame:
     """Class-based TF-IDF: ``tf / words(topic) * ln(1 + A / f(term))``.
 
     ``A`` is the mean number of words per topic and ``f`` the count of the term over all topics. The
-    term total is a window over the few topics of one term, so counts shuffle once by term; topic
-    totals are one row per topic.
+    counts are read three times and written once, so that the tokens behind them are not. The term
+    total is a window over the few topics of one term, so counts shuffle once by term; topic totals
+    are one row per topic.
     """
+    tf = materialize(tf, "class-tf")
     per_topic = tf.groupBy("topic").agg(F.sum("tf").alias("words"))
     mean_words = per_topic.agg(F.avg("words")).scalar()
     with_total = tf.withColumn("f", F.sum("tf").over(Window.partitionBy("term")))

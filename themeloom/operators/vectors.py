@@ -32,15 +32,13 @@ def attach_embeddings(docs: DataFrame, embeddings: DataFrame, width: int | None
     return docs.join(embeddings.select("doc_id", vector.alias("embedding")), "doc_id")
 
 
-def _term_signs(term: str, width: int) -> np.ndarray:
-    """+1 or -1 per dimension: the top bit of the matching hex digit of md5(term:block)."""
-    blocks = []
-    for block in range((width + 31) // 32):
-        digest = np.frombuffer(hashlib.md5(f"{term}:{block}".encode()).digest(), dtype=np.uint8)
-        bits = np.empty(32, dtype=bool)
-        bits[0::2], bits[1::2] = (digest & 0x80) > 0, (digest & 0x08) > 0
-        blocks.append(bits)
-    return np.where(np.concatenate(blocks)[:width], 1.0, -1.0)
+def _term_signs(terms, width: int) -> np.ndarray:
+    """+1 or -1 per term and dimension: the top bit of the matching hex digit of md5(term:block)."""
+    blocks = range((width + 31) // 32)
+    digests = b"".join(hashlib.md5(f"{t}:{b}".encode()).digest() for t in terms for b in blocks)
+    octets = np.frombuffer(digests, dtype=np.uint8).reshape(len(terms), -1)
+    digits = np.stack([octets & 0x80, octets & 0x08], axis=2).reshape(len(terms), -1)[:, :width]
+    return np.where(digits > 0, 1, -1).astype(np.int8)
 
 
 def hash_encoder(width: int = VECTOR_WIDTH) -> Encoder:
@@ -54,10 +52,10 @@ def hash_encoder(width: int = VECTOR_WIDTH) -> Encoder:
         out = np.zeros((len(sizes), width))
         if sizes.sum():
             codes, terms = pd.factorize(np.concatenate(token_arrays.to_numpy()))
-            signs = np.stack([_term_signs(t, width) for t in terms])
+            signs = _term_signs(terms, width)
             filled = np.flatnonzero(sizes)
             starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
-            out[filled] = np.add.reduceat(signs[codes], starts, axis=0)
+            out[filled] = np.add.reduceat(signs[codes], starts, axis=0, dtype=np.int64)
         return unit_rows(out)
 
     return encode
