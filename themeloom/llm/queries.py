@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import codes
+from themeloom.llm import codes, shards, simhash
 from themeloom.llm.common import table
+from themeloom.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 OP1_END_ID = 2
+SHARDS = 16
 
 
 def query(function: Query) -> Query:
@@ -33,3 +35,20 @@ def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as directly addressable codes, written and read back."""
     read = codes.encode_and_read(table(spark, sf_dir, "documents"), byte_bpe(), OP1_END_ID)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op8_slot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sixteen shards of near-equal bytes."""
+    placed = shards.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS, work_path(spark, "slot-map"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
+@query
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and near-duplicate components of all documents."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
