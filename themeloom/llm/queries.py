@@ -7,15 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import codes, shards, simhash
+from themeloom.llm import chat, codes, packing, shards, simhash
 from themeloom.llm.common import table
-from themeloom.session import work_path
+from themeloom.session import materialize, work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 OP1_END_ID = 2
+OP4_END_ID = 0
 SHARDS = 16
 
 
@@ -52,3 +53,21 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and near-duplicate components of all documents."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1,024 tokens."""
+    return packing.digests(*packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), OP4_END_ID))
+
+
+@query
+def op10_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one made of control strings, formatted, written and read back."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    formatted = chat.format_conversations(given.unionByName(marks), byte_bpe())
+    return chat.read_back(materialize(formatted, "chat"))
