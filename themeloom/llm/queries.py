@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, packing, shards, simhash
+from themeloom.llm import chat, codes, packing, rules, shards, simhash
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -71,3 +71,9 @@ def op10_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     formatted = chat.format_conversations(given.unionByName(marks), byte_bpe())
     return chat.read_back(materialize(formatted, "chat"))
+
+
+@query
+def op3_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules with certified cutoffs over all documents."""
+    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
