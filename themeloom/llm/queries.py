@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, packing, rules, shards, simhash
+from themeloom.llm import chat, codes, crf, packing, rules, shards, simhash
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -77,3 +77,9 @@ def op10_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules with certified cutoffs over all documents."""
     return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by a conditional random field over their lines."""
+    return crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
