@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, crf, packing, rules, shards, simhash
+from themeloom.llm import chat, codes, crf, packing, pivots, rules, shards, simhash
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -83,3 +83,27 @@ def op3_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by a conditional random field over their lines."""
     return crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty highest inner products of every twentieth vector against all others."""
+    own = pivots.quantised(table(spark, sf_dir, "embeddings"))
+    found = pivots.search(pivots.build(own), own.filter("vec_id % 20 = 0"))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+ORACLES["op2_pivot_topk"] = """
+with own as (
+    select vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as v
+    from embeddings
+    where embedding is not null and vec_id is not null
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), pairs as (
+    select q.vec_id as query_id, c.vec_id, cast(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) as bigint) as score
+    from own q join own c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from pairs
+qualify rank <= 20
+"""
