@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, crf, packing, pivots, rules, shards, simhash
+from themeloom.llm import chat, codes, crf, editjoin, packing, pivots, rules, shards, simhash
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -107,3 +107,12 @@ select query_id, cast(row_number() over (partition by query_id order by score de
 from pairs
 qualify rank <= 20
 """
+
+
+@query
+def op9_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat an earlier line up to two edits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return editjoin.dedup_lines(docs).select(
+        "doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed")
+    )
