@@ -25,6 +25,26 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+BROADCAST_ROWS = 1_000_000  # of a few numbers each, counted before such a side is broadcast
+
+
+def bounded_side(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side of narrow rows if its count allows it; its join shuffles otherwise."""
+    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``doc_id`` and text hash, ``doc_id, doc_key``, are not among ``gone``."""
+    side = bounded_side(gone.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key")))
+    same = (doc_key(docs) == side["_key"]) & docs["doc_id"].cast("bigint").eqNullSafe(side["_id"])
+    return docs.join(side, same, "left_anti")
+
+
+def doc_key(docs: DataFrame):
+    """Hash of a row's id and text, by which rows of one id are told apart."""
+    return F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
+
+
 def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text`` alone, so that other columns and their names do not matter; a null text is empty."""
     bounded_batches(docs.sparkSession)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.common import keyed_texts, slices, text_bytes
+from themeloom.llm.common import bounded_batches, keyed_texts, slices, text_bytes
 from themeloom.session import materialize
 
 SAMPLE_DOCS, SAMPLE_TEXT = 6000, 1 << 20
@@ -232,6 +232,20 @@ def scored(docs: DataFrame, field: Field) -> DataFrame:
     return keyed_texts(docs).mapInArrow(run, "doc_id bigint, score double")
 
 
+def passing(docs: DataFrame, field: Field, cutoff: float = CUTOFF) -> DataFrame:
+    """The documents that score ``cutoff`` or more, with all their columns; nothing is joined or moved."""
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                texts = batch.column(at).fill_null("")
+                yield batch.filter(pa.array(score(field, texts) >= cutoff))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
     return scored(docs, train(docs, labels)).select(

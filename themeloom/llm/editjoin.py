@@ -24,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.common import bounded_batches, slices
+from themeloom.llm.common import BROADCAST_ROWS, bounded_batches, bounded_side, doc_key, slices
 from themeloom.session import materialize
 
 TAU, MIN_CHARS = 2, 16
 CROWDED, BLOCK = 24, 1024  # lines under a key that are listed as pairs; lines of a block
-BROADCAST_ROWS = 1_000_000  # counted before a side of narrow rows is broadcast; beyond, joins shuffle
 
 
 def segments(length: int, tau: int = TAU) -> list[tuple[int, int]]:
@@ -217,16 +216,11 @@ def candidates(lines: DataFrame, tau: int = TAU, crowded: int = CROWDED, block:
     return materialize(met.distinct(), "candidates")
 
 
-def _bounded(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side of narrow rows if its count allows it; joins shuffle otherwise."""
-    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
-
-
 def later_lines(lines: DataFrame, firsts: DataFrame, tau: int = TAU) -> DataFrame:
     """``h1, h2`` of texts that are near a text that first stands earlier."""
     met = candidates(lines, tau)
     wanted = materialize(met.select(F.col("a").alias("h1")).union(met.filter("b is not null").select("b")).distinct(), "met")
-    texts = lines.join(_bounded(wanted), "h1", "left_semi").select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
+    texts = lines.join(bounded_side(wanted), "h1", "left_semi").select("h1", "h2", "line").dropDuplicates(["h1", "h2"])
     texts = materialize(texts.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]), "met-lines")
 
     def side(name: str) -> DataFrame:
@@ -305,8 +299,8 @@ def dedup_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) ->
     marked = firsts.join(later, ["h1", "h2"], "left").filter("n > 1 or _later").select("h1", "h2", "first", "_later")
     gone = places.join(marked, ["h1", "h2"]).filter("_later or at <> first").select("at.*")
     gone = materialize(gone.groupBy("doc_id", "doc_key").agg(F.collect_set("line_no").alias("_gone")), "removed-lines")
-    own = docs.withColumn("_key", F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"].cast("string")))
-    found = _bounded(gone.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"), "_gone"), BROADCAST_ROWS // 4)
+    own = docs.withColumn("_key", doc_key(docs))
+    found = bounded_side(gone.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"), "_gone"), BROADCAST_ROWS // 4)
     joined = own.join(found, (own["_key"] == found["_key"]) & docs["doc_id"].cast("bigint").eqNullSafe(found["_id"]), "left")
     split = F.split("text", "\n")
     text = F.when(

@@ -76,7 +76,7 @@ def op10_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_certified_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules with certified cutoffs over all documents."""
-    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("doc_key")
 
 
 @query

@@ -23,6 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from themeloom.llm.common import doc_key, without
 from themeloom.session import materialize
 
 # Fixed values.
@@ -153,8 +154,8 @@ def cutoffs(
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` of every document."""
-    own = docs.select("doc_id", "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))
-    table = materialize(measured(own, keep=("stratum",)), "measures")
+    own = docs.select("doc_id", "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), doc_key(docs).alias("doc_key"))
+    table = materialize(measured(own, keep=("stratum", "doc_key")), "measures")
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = cutoffs(materialize(table.filter(~base_failed()).join(known, "doc_id"), "labelled"), alpha, delta)
@@ -166,5 +167,10 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: flo
         rejected = rejected | F.coalesce(value > F.col(f"max_{name}"), F.lit(False))
     failed = base_failed()
     return table.join(renamed, "stratum", "left").select(
-        "doc_id", *MEASURES, failed.alias("base_failed"), (~failed & ~rejected).alias("kept")
+        "doc_id", *MEASURES, failed.alias("base_failed"), (~failed & ~rejected).alias("kept"), "doc_key"
     )
+
+
+def passing(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with all their columns."""
+    return without(docs, judged(docs, labels).filter(~F.col("kept")).select("doc_id", "doc_key").distinct())

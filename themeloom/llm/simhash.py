@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.common import keyed_texts
+from themeloom.llm.common import bounded_side, keyed_texts
 from themeloom.llm.components import components
 from themeloom.session import materialize
 
@@ -288,3 +288,10 @@ def near_duplicates(docs: DataFrame, tau: int = TAU, m: int = PARTITIONS, shingl
     least = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     labelled = materialize(placed.join(least, "root").select("fp", "component_id"), "labelled")
     return own.join(labelled, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents whose id is their component's, with all their columns."""
+    found = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    side = bounded_side(found.select(F.col("doc_id").alias("_id")))
+    return docs.join(side, docs["doc_id"].cast("bigint").eqNullSafe(side["_id"]), "left_anti")
