@@ -72,7 +72,8 @@ def difference(sizes: np.ndarray, m: int) -> np.ndarray:
 
 def spread(sizes: np.ndarray, capacity: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Window and offset of every piece; as many windows as the differencing needs to stay within capacity."""
-    m = max(1, -(-int(sizes.sum()) // capacity))
+    total = int(sizes.sum())
+    m = max(1, -(-total // capacity), total // (capacity - capacity // 512))  # full to the last token hardly ever works
     while True:
         window = difference(sizes, m)
         if np.bincount(window, sizes, minlength=m).max() <= capacity:
