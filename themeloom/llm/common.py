@@ -33,6 +33,14 @@ def bounded_side(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
 
 
+def fresh_name(docs: DataFrame, name: str) -> str:
+    """``name``, or it with underscores, so that no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` and text hash, ``doc_id, doc_key``, are not among ``gone``."""
     side = bounded_side(gone.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key")))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.common import BROADCAST_ROWS, bounded_batches, bounded_side, doc_key, slices
+from themeloom.llm.common import BROADCAST_ROWS, bounded_batches, bounded_side, doc_key, fresh_name, slices
 from themeloom.session import materialize
 
 TAU, MIN_CHARS = 2, 16
@@ -289,27 +289,28 @@ def later_lines(lines: DataFrame, firsts: DataFrame, tau: int = TAU) -> DataFram
     return pairs.mapInArrow(verify, "h1 bigint, h2 int").union(crowded).distinct()
 
 
-def dedup_lines(docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All columns of ``docs`` with the kept lines in ``text``, and ``_n_lines``, ``_n_removed``."""
+def dedup_lines(
+    docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, counts: tuple[str, str] | None = None
+) -> DataFrame:
+    """All columns of ``docs`` with the kept lines in ``text``; ``counts`` names columns for lines and removed lines."""
     lines = lines_of(docs, min_chars)
     at = F.struct("doc_id", "doc_key", "line_no")
     places = lines.select("h1", "h2", at.alias("at"))
     firsts = materialize(places.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n")), "first-lines")
-    later = materialize(later_lines(lines, firsts, tau), "later-lines").withColumn("_later", F.lit(True))
-    marked = firsts.join(later, ["h1", "h2"], "left").filter("n > 1 or _later").select("h1", "h2", "first", "_later")
-    gone = places.join(marked, ["h1", "h2"]).filter("_later or at <> first").select("at.*")
-    gone = materialize(gone.groupBy("doc_id", "doc_key").agg(F.collect_set("line_no").alias("_gone")), "removed-lines")
-    own = docs.withColumn("_key", doc_key(docs))
-    found = bounded_side(gone.select(F.col("doc_id").alias("_id"), F.col("doc_key").alias("_key"), "_gone"), BROADCAST_ROWS // 4)
-    joined = own.join(found, (own["_key"] == found["_key"]) & docs["doc_id"].cast("bigint").eqNullSafe(found["_id"]), "left")
-    split = F.split("text", "\n")
-    text = F.when(
-        F.col("_gone").isNotNull(),
-        F.array_join(F.transform(
-            F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "_gone")), lambda i: F.get(split, i)
-        ), "\n"),
-    ).otherwise(F.col("text"))
-    return joined.select(
-        *(text.alias("text") if c == "text" else docs[c] for c in docs.columns),
-        F.coalesce(F.size(split), F.lit(0)).alias("_n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_removed"),
+    later = materialize(later_lines(lines, firsts, tau), "later-lines").withColumn("later", F.lit(True))
+    marked = firsts.join(later, ["h1", "h2"], "left").filter("n > 1 or later").select("h1", "h2", "first", "later")
+    removed = places.join(marked, ["h1", "h2"]).filter("later or at <> first").select("at.*")
+    removed = materialize(removed.groupBy("doc_id", "doc_key").agg(F.collect_set("line_no").alias("gone")), "removed-lines")
+    key, gone, id_ = (fresh_name(docs, n) for n in ("_key", "_gone", "_id"))
+    own = docs.withColumn(key, doc_key(docs))
+    found = removed.select(F.col("doc_id").alias(id_), F.col("doc_key").alias("_found_key"), F.col("gone").alias(gone))
+    found = bounded_side(found, BROADCAST_ROWS // 4)
+    same = (own[key] == found["_found_key"]) & own["doc_id"].cast("bigint").eqNullSafe(found[id_])
+    split = F.split(own["text"].cast("string"), "\n")
+    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), found[gone]))
+    text = F.when(found[gone].isNotNull(), F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")).otherwise(own["text"])
+    sizes = (F.when(own["text"].isNotNull(), F.size(split)).otherwise(0), F.when(found[gone].isNotNull(), F.size(found[gone])).otherwise(0))
+    return own.join(found, same, "left").select(
+        *(text.alias("text") if c == "text" else own[c] for c in docs.columns),
+        *(n.alias(c) for n, c in zip(sizes, counts or ())),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, crf, editjoin, packing, pivots, rules, shards, simhash
+from themeloom.llm import chat, codes, crf, editjoin, packing, pieces, pivots, rules, shards, simhash
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -113,6 +113,14 @@ qualify rank <= 20
 def op9_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines that repeat an earlier line up to two edits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return editjoin.dedup_lines(docs).select(
-        "doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed")
-    )
+    return editjoin.dedup_lines(docs, counts=("n_lines", "n_removed"))
+
+
+@query
+def op6_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of all documents, and the texts decoded from them."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = pieces.decode_texts(pieces.encode_texts(table(spark, sf_dir, "documents"), model), model)
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
