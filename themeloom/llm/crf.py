@@ -85,7 +85,7 @@ def line_measures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     repeated = np.zeros(len(word), bool)
     repeated[1:] = (mixed[1:] == mixed[:-1]) & (of_line[1:] == of_line[:-1])
     again = np.bincount(of_line[repeated], minlength=n)
-    mark = np.bincount(of_line, weights=mixed.astype(np.float64), minlength=n) + length
+    mark = np.bincount(of_line, weights=mixed.astype(np.float64), minlength=n) + solid
     by_mark = np.lexsort((mark, rows))
     twin = np.zeros(n)
     pair = (rows[by_mark][1:] == rows[by_mark][:-1]) & (mark[by_mark][1:] == mark[by_mark][:-1])

@@ -84,7 +84,7 @@ def build(own: DataFrame, most_pivots: int = MOST_PIVOTS, annuli: int = ANNULI,
     n_pivots = min(most_pivots, max(1, math.isqrt(n) // 8))
     sample = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).collect()
     width = len(sample[0]["v"]) if sample else 0
-    pivots = np.array([r["v"] for r in sample], np.int64).reshape(-1, width)
+    pivots = np.array([r["v"] for r in sample], np.int64).reshape(len(sample), width)
 
     def assign(batches):
         for batch in batches:
@@ -157,6 +157,8 @@ def search(index: Index, queries: DataFrame, k: int = K, rounds: tuple[int, ...]
 
     def pack(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             v = _matrix(batch.column(1), width)
             yield pa.record_batch(
                 [batch.column(0), pa.array([r.tobytes() for r in v], pa.binary()), *batch.columns[2:]],
