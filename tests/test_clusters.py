@@ -111,11 +111,21 @@ def test_hash_encoder_and_pca(spark):
     assert len(vectors.reduce_pca(vectors.embed(df, "tokens")).head().embedding) == 5
 
 
-def test_many_topics_are_searched_by_cell(spark, points, monkeypatch):
+def test_blocks_of_topics_change_nothing(spark, points):
     from themeloom.operators import assign
 
+    zero = spark.createDataFrame([(900, [0.0] * len(points.head()["embedding"]))], "id bigint, embedding array<double>")
+    docs = points.select("id", "embedding").unionByName(zero).selectExpr("concat('d', id) as doc_id", "embedding")
     centres = points.filter("id < 12").select(F.col("id").cast("int").alias("topic"), F.col("embedding").alias("centroid"))
-    docs = points.withColumnRenamed("id", "doc_id")
-    small = {r.doc_id: r.topic for r in nearest_topics(docs, centres).collect()}
-    monkeypatch.setattr(assign, "CENTROID_CELLS", 1)
-    assert {r.doc_id: r.topic for r in nearest_topics(docs, centres).collect()} == small
+    centres = centres.unionByName(centres.filter("topic = 3").withColumn("topic", F.lit(40)))  # a tie
+    centres = centres.unionByName(zero.select(F.lit(50).alias("topic"), F.col("embedding").alias("centroid")))
+    one, many = (sorted(map(tuple, nearest_topics(docs, centres, block_numbers=n).collect())) for n in (10**6, 1))
+    assert one == many and len(one) == docs.count()
+    assert ("d900", 0, 0.0) in one and not [r for r in one if r[1] == 40]
+    one, many = (
+        {(r.doc_id, r.topic): r.prob for r in assign.topic_probabilities(docs, centres, block_numbers=n).collect()} for n in (10**6, 7)
+    )
+    assert set(one) == set(many) and all(abs(one[k] - many[k]) < 1e-12 for k in one)
+    assert len(one) == docs.count() * 14
+    assert {r.topic for r in nearest_topics(docs, centres.limit(0)).collect()} == {-1}
+    assert assign.topic_probabilities(docs, centres.limit(0)).count() == 0
