@@ -75,7 +75,7 @@ def test_forest_in_rounds_equals_one_task_and_brute_force(spark, cloud, points):
 
 def test_clusters_of_planted_blobs(spark, points):
     near = neighbours.knn_graph(points, 8).cache()
-    tree = density.forest_of(near, 8)
+    tree = density.spanning_tree(points, near, 8)
     one = density.renumber(density.cluster_forest(points, tree, 8))
     topics = [r.topic for r in one.orderBy("id").collect()]
     for part, topic in ((topics[:40], 0), (topics[40:65], 1), (topics[65:80], 2)):
@@ -84,6 +84,55 @@ def test_clusters_of_planted_blobs(spark, points):
     assert [r.topic for r in pieces.orderBy("id").collect()] == topics
 
 
+def prim(x, k):
+    """Edges of the spanning tree of the complete mutual-reachability graph."""
+    d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), 9)
+    core = np.sort(d, axis=1)[:, k]
+    w = np.maximum(np.maximum(core[:, None], core[None]), d)
+    inside, best, via, edges = [0], w[0].copy(), np.zeros(len(x), int), []
+    best[0] = np.inf
+    for _ in range(len(x) - 1):
+        i = int(best.argmin())
+        edges.append((min(i, int(via[i])), max(i, int(via[i])), float(best[i])))
+        inside.append(i)
+        nearer = w[i] < best
+        nearer[inside] = False
+        best[nearer], via[nearer] = w[i][nearer], i
+        best[inside] = np.inf
+    return edges
+
+
+def blobs(seed, far, sizes=(25, 25, 25, 25)):
+    """Pairs of blobs, the pairs ``far`` apart, so that the neighbour graph falls apart."""
+    rng = np.random.default_rng(seed)
+    centres = [(0, 0), (1.5 + rng.random(), 0), (far, far), (far + 1.5 + rng.random(), far)]
+    return np.vstack([rng.normal(c, 0.25 + 0.1 * rng.random(), (n, 2)) for c, n in zip(centres, sizes)])
+
+
+@pytest.mark.parametrize("seed, far, cell_rows", [(1, 60, 1024), (2, 60, 10), (3, 8, 20), (4, 300, 15)])
+def test_trees_of_a_disconnected_graph_are_joined(spark, seed, far, cell_rows):
+    x = blobs(seed, far)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id bigint, embedding array<double>")
+    near = neighbours.knn_graph(df, 8, cell_rows=cell_rows).cache()
+    tree = density.spanning_tree(df, near, 8, cell_rows).collect()
+    full = prim(x, 8)
+    assert len(tree) == len(x) - 1
+    assert sorted(r.w for r in tree) == pytest.approx(sorted(e[2] for e in full), abs=1e-9)
+    if seed < 3:  # the clusters of the complete graph's tree
+        complete = spark.createDataFrame(full, "u bigint, v bigint, w double")
+        want = density.renumber(density.cluster_forest(df, complete, 8)).orderBy("id").collect()
+        got = density.renumber(density.cluster_forest(df, spark.createDataFrame(tree), 8)).orderBy("id").collect()
+        assert [r.topic for r in got] == [r.topic for r in want]
+
+
+def test_copies_in_a_tree_of_their_own(spark):
+    rows = [(i, [0.0, 0.0]) for i in range(30)] + [(30 + i, [5.0 + i % 5, float(i // 5)]) for i in range(25)]
+    df = spark.createDataFrame(rows, "id bigint, embedding array<double>")
+    tree = density.spanning_tree(df, neighbours.knn_graph(df, 5).cache(), 5).collect()
+    assert len(tree) == 54
+    assert sum(r.w for r in tree) == pytest.approx(sum(e[2] for e in prim(np.array([r[1] for r in rows]), 5)))
+
+
 def test_noise_only(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(x) for x in rng.uniform(0, 1, 4)]) for i in range(20)]

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from themeloom.functions.words import OUTLIER_TOPIC
+from themeloom.operators.connect import connect_trees
 from themeloom.operators.forest import components, minimum_spanning_forest
-from themeloom.operators.neighbours import CELL_ROWS, knn_graph, mutual_reachability
+from themeloom.operators.neighbours import CELL_ROWS, core_distances, knn_graph, mutual_reachability
 from themeloom.session import ONE_TASK_ROWS, fits_one_task, materialize, with_dense_index
 
 CLOSEST = 1e-9  # floor of a distance, so that copies have a finite density
@@ -339,9 +340,10 @@ def renumber(clusters: DataFrame) -> DataFrame:
     )
 
 
-def forest_of(neighbours: DataFrame, k: int) -> DataFrame:
-    """Spanning forest of the mutual-reachability graph for core distances of order ``k``."""
-    return materialize(minimum_spanning_forest(mutual_reachability(neighbours, k)), "forest")
+def spanning_tree(points: DataFrame, neighbours: DataFrame, k: int, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Spanning tree under mutual reachability of order ``k``: the neighbour graph's forest, made one tree."""
+    forest = materialize(minimum_spanning_forest(mutual_reachability(neighbours, k)), "forest")
+    return connect_trees(points, forest, core_distances(neighbours, k), cell_rows)
 
 
 def density_clusters(
@@ -353,5 +355,5 @@ def density_clusters(
     """
     if neighbours is None:
         neighbours = materialize(knn_graph(points, min_cluster_size, cell_rows=cell_rows), "neighbours")
-    forest = forest_of(neighbours, min_cluster_size)
+    forest = spanning_tree(points, neighbours, min_cluster_size, cell_rows)
     return renumber(materialize(cluster_forest(points, forest, min_cluster_size), "clusters"))
