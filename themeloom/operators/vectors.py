@@ -19,17 +19,34 @@ from themeloom.functions.vectors import as_doubles, matrix, unit_rows
 VECTOR_WIDTH = 64
 REDUCED_WIDTH = 5
 
+SLICE_TOKENS = 1 << 18  # tokens whose signs are held at a time
+
 Encoder = Callable[[pd.Series], np.ndarray]
 
 
-def attach_embeddings(docs: DataFrame, embeddings: DataFrame, width: int | None = None) -> DataFrame:
-    """Join pre-computed vectors ``(doc_id, embedding)`` to documents; a wrong width is an error."""
+def attach_embeddings(
+    docs: DataFrame, embeddings: DataFrame, width: int | None = None, missing: str = "error"
+) -> DataFrame:
+    """Join pre-computed vectors ``(doc_id, embedding)`` to documents; a wrong width is an error.
+
+    No document is lost: one without a vector is an error too, or with ``missing="zero"`` stands at the
+    origin of the ``width`` dimensions, similar to nothing.
+    """
+    if missing not in ("error", "zero"):
+        raise ValueError(f"missing is 'error' or 'zero', not {missing}")
+    if missing == "zero" and width is None:
+        raise ValueError("zero vectors need a width")
     vector = as_doubles(F.col("embedding"))
     if width is not None:
         vector = F.when(F.size("embedding") == width, vector).otherwise(
             F.raise_error(F.lit(f"embedding width is not {width}")).cast("array<double>")
         )
-    return docs.join(embeddings.select("doc_id", vector.alias("embedding")), "doc_id")
+    found = docs.join(embeddings.select("doc_id", vector.alias("embedding")), "doc_id", "left")
+    if missing == "zero":
+        instead = F.array_repeat(F.lit(0.0), width)
+    else:
+        instead = F.raise_error(F.concat(F.lit("no embedding for document "), F.col("doc_id").cast("string"))).cast("array<double>")
+    return found.withColumn("embedding", F.coalesce("embedding", instead))
 
 
 def _term_signs(terms, width: int) -> np.ndarray:
@@ -53,9 +70,11 @@ def hash_encoder(width: int = VECTOR_WIDTH) -> Encoder:
         if sizes.sum():
             codes, terms = pd.factorize(np.concatenate(token_arrays.to_numpy()))
             signs = _term_signs(terms, width)
-            filled = np.flatnonzero(sizes)
-            starts = np.concatenate([[0], np.cumsum(sizes[filled])[:-1]])
-            out[filled] = np.add.reduceat(signs[codes], starts, axis=0, dtype=np.int64)
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            for at in range(0, len(codes), SLICE_TOKENS):  # a long document spans slices, its sums add up
+                own = owner[at : at + SLICE_TOKENS]
+                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                out[own[first]] += np.add.reduceat(signs[codes[at : at + SLICE_TOKENS]], first, axis=0, dtype=np.int64)
         return unit_rows(out)
 
     return encode

@@ -190,7 +190,7 @@ def _pair_probabilities(name: str, top: str, unit: str) -> dict[str, str]:
 CTES.update(_windows("cv", "doc_tokens", "t_top", 110))
 CTES.update(_windows("np", "doc_tokens", "t_top", 10))
 CTES["kept_top"] = "SELECT * FROM t_top WHERE topic <> -1"
-CTES.update(_windows("tk", "talk_tokens", "kept_top", 10))
+CTES.update(_windows("tk", "talk_tokens", "kept_top", 110))
 CTES["um_total"] = "SELECT count(*)::DOUBLE AS windows FROM doc_tokens"
 CTES["um_in"] = (
     "SELECT DISTINCT doc_id, term FROM (SELECT doc_id, unnest(tokens) AS term FROM doc_tokens) WHERE term IN (SELECT term FROM t_top)"
@@ -201,9 +201,14 @@ CTES["cv_s"] = "SELECT topic, rb, sum(x) AS s FROM cv_x GROUP BY topic, rb"
 CTES["cv_cos"] = (
     "SELECT topic, ra, sum(x * s) / (sqrt(sum(x * x)) * sqrt(sum(s * s))) AS c FROM cv_x JOIN cv_s USING (topic, rb) GROUP BY topic, ra"
 )
-# re-ranking over the documents that have a given vector
+CTES["tk_x"] = "SELECT topic, ra, rb, ln((p + 1e-12) / (pa * pb)) / -ln(p + 1e-12) AS x FROM tk_pairs"
+CTES["tk_s"] = "SELECT topic, rb, sum(x) AS s FROM tk_x GROUP BY topic, rb"
+CTES["tk_cos"] = (
+    "SELECT topic, ra, sum(x * s) / (sqrt(sum(x * x)) * sqrt(sum(s * s))) AS c FROM tk_x JOIN tk_s USING (topic, rb) GROUP BY topic, ra"
+)
+# re-ranking; documents without a given vector stand at the origin
 CTES["rr_tokens"] = (
-    "SELECT d.doc_id, g.topic, d.tokens, v.e FROM doc_tokens d JOIN given g USING (doc_id) JOIN vecs v ON v.doc_id = d.doc_id"
+    "SELECT d.doc_id, g.topic, d.tokens, coalesce(v.e, [0.0 for i in range(64)]) AS e FROM doc_tokens d JOIN given g USING (doc_id) LEFT JOIN vecs v ON v.doc_id = d.doc_id"
 )
 CTES.update(_tfidf("rr", "rr_tokens"))
 CTES["rr_cand"] = (
@@ -369,10 +374,10 @@ SELECTS: dict[str, str] = {
     ),
     "rerank_keywords": (
         "SELECT topic, rank::INTEGER AS rank, term, weight FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS rank FROM "
-        "(SELECT topic, term, round(list_cosine_similarity(tv, cv), 6) AS weight FROM rr_cand JOIN rr_tv USING (term) JOIN rr_cv USING (topic))) WHERE rank <= 10"
+        "(SELECT topic, term, round(coalesce(nullif(list_cosine_similarity(tv, cv), 'nan'::DOUBLE), 0.0), 6) + 0.0 AS weight FROM rr_cand JOIN rr_tv USING (term) JOIN rr_cv USING (topic))) WHERE rank <= 10"
     ),
     "embed_precomputed": (
-        "SELECT doc_id, len(e) AS width, round(list_sum(e), 6) AS total FROM docs JOIN vecs USING (doc_id)"
+        "SELECT doc_id, coalesce(len(e), 64) AS width, round(coalesce(list_sum(e), 0.0), 6) AS total FROM docs LEFT JOIN vecs USING (doc_id)"
     ),
     "embed_documents": (
         "WITH counts AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM doc_tokens) GROUP BY ALL), "
@@ -403,7 +408,7 @@ SELECTS: dict[str, str] = {
     "coherence_uci": "SELECT topic, round(avg(ln((p + 1e-12) / (pa * pb))), 6) + 0.0 AS coherence FROM np_pairs WHERE ra > rb GROUP BY topic",
     "inference_coherence": (
         "SELECT round(CASE WHEN count(*) >= 2 THEN avg(c) ELSE 0.0 END, 6) AS coherence_score, count(*) AS n_topics FROM "
-        "(SELECT topic, avg(ln((p + 1e-12) / (pa * pb)) / -ln(p + 1e-12)) AS c FROM tk_pairs WHERE ra > rb GROUP BY topic)"
+        "(SELECT topic, avg(c) AS c FROM tk_cos GROUP BY topic)"
     ),
     "best_trial": (
         "SELECT min_cluster_size AS best_min_cluster, score AS best_coherence FROM trials WHERE score IS NOT NULL ORDER BY score DESC, min_cluster_size LIMIT 1"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -30,6 +32,7 @@ class Components:
     neighbours: DataFrame  # src, rank, dst, distance
     n_documents: int
     largest_size: int
+    settings: dict = field(default_factory=dict)  # how texts become vectors, for serving
 
 
 @dataclass(frozen=True)
@@ -43,14 +46,23 @@ class TopicModel:
     params: dict = field(default_factory=dict)
 
 
+HASHED = "hashed"
+
+
+def vector_settings(stopwords, width: int, encoder: str = HASHED) -> dict:
+    """What a served model must know to turn texts into the vectors it was fitted on."""
+    return {"stopwords": json.dumps(sorted(set(stopwords))), "width": int(width), "encoder": encoder}
+
+
 def build_components(
     docs: DataFrame, largest_size: int, stopwords=(), embeddings: DataFrame | None = None,
-    encoder: Encoder | None = None, encoder_column: str = "tokens",
+    encoder: Encoder | None = None, encoder_column: str = "tokens", encoder_name: str = "own",
 ) -> Components:
     """Tokens, vectors, reduced vectors and neighbours of ``(doc_id, doc)``.
 
     ``embeddings`` brings pre-computed vectors; otherwise ``encoder`` (default: hashed projection of
-    the tokens) makes them from ``encoder_column``. The neighbour graph has ``largest_size`` ranks,
+    the tokens) makes them from ``encoder_column``; ``encoder_name`` is what a served model asks for then.
+    The neighbour graph has ``largest_size`` ranks,
     enough for every cluster size up to that.
     """
     texts = materialize(docs.select("doc_id", "doc"), "docs")
@@ -65,7 +77,10 @@ def build_components(
         reduce_pca(vectors).select(F.col("doc_id").alias("id"), "embedding"), "reduced"
     )
     neighbours = materialize(knn_graph(reduced, largest_size), "neighbours")
-    return Components(texts, tokens, vectors, reduced, neighbours, texts.count(), largest_size)
+    first = vectors.select(F.size("embedding")).head()
+    name = encoder_name if embeddings is not None or encoder is not None else HASHED
+    settings = vector_settings(stopwords, first[0] if first else 0, name)
+    return Components(texts, tokens, vectors, reduced, neighbours, texts.count(), largest_size, settings)
 
 
 def cluster(components: Components, min_cluster_size: int) -> DataFrame:
@@ -120,7 +135,8 @@ def describe_topics(
     members = topics.join(own.select("doc_id", "similarity"), "doc_id", "left").select(
         "doc_id", "topic", F.coalesce("similarity", F.lit(0.0)).alias("prob")
     )
-    return TopicModel(members, info, words, materialize(centres.join(cuts, "topic"), "centroids"))
+    settings = {**components.settings, "ngrams": json.dumps(ngrams)}
+    return TopicModel(members, info, words, materialize(centres.join(cuts, "topic"), "centroids"), settings)
 
 
 def fit_topics(
@@ -136,5 +152,5 @@ def fit_topics(
     parts = components or build_components(docs, min_cluster_size, stopwords, embeddings)
     topics = materialize(cluster(parts, min_cluster_size), "topics")
     model = describe_topics(parts, topics, labels, ngrams)
-    params = {"min_cluster_size": min_cluster_size, "n_documents": parts.n_documents}
+    params = {**model.params, "min_cluster_size": min_cluster_size, "n_documents": parts.n_documents}
     return TopicModel(model.topics, model.info, model.words, model.centroids, params)

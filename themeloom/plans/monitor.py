@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import time
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from themeloom.operators import coherence
 from themeloom.operators.drift import detect_drift
 from themeloom.operators.terms import words_by_topic
+from themeloom.operators.tokens import with_tokens
 from themeloom.plans.fit import TopicModel
 from themeloom.plans.registry import MODEL_NAME
 from themeloom.plans.train import transform
@@ -74,10 +77,11 @@ class InferenceMonitor:
     def performance_report(self) -> DataFrame:
         return logs.read_log(self.spark, f"{self.root}/performance", logs.PERFORMANCE_SCHEMA).orderBy("timestamp")
 
-    def run_inference(self, docs: DataFrame, stopwords=(), with_coherence: bool = True) -> Inference:
+    def run_inference(self, docs: DataFrame, stopwords=None, with_coherence: bool = True) -> Inference:
         """Assign topics, compare the model's words with the baseline, score, log.
 
-        Any failure is reported as status ``error`` with its message and the time spent.
+        A failure of the coherence is a warning and a missing score; any other is reported as status ``error``
+        with its message and the time spent. Logs are written last, so a failed run leaves no entry.
         """
         started = time.monotonic()
         try:
@@ -89,8 +93,8 @@ class InferenceMonitor:
                 .withColumns({"batch_id": F.lit(None).cast("bigint"), "model_name": F.lit(self.model_name)}),
                 "drift",
             )
-            logs.append(drift, f"{self.root}/drift_history")
-            score = self._coherence(docs, topics, stopwords) if with_coherence else None
+            trend = self._coherence(docs, topics, stopwords) if with_coherence else None
+            score = trend.head()["coherence_score"] if trend is not None else None
             counts = topics.agg(F.count("*").alias("n_documents")).withColumn(
                 "n_topics", words.agg(F.count("*")).scalar()
             )
@@ -101,15 +105,25 @@ class InferenceMonitor:
                 ),
                 "metric",
             )
+            logs.append(drift, f"{self.root}/drift_history")
+            if trend is not None:
+                logs.append(trend, f"{self.root}/coherence")
             logs.append(metric, f"{self.root}/performance")
             return Inference("success", seconds, topics, drift, metric, score)
         except Exception as error:
             return Inference("error", time.monotonic() - started, error_message=str(error))
 
-    def _coherence(self, docs: DataFrame, topics: DataFrame, stopwords) -> float | None:
-        """Coherence of the words of the assigned topics on the new texts; None with one topic only."""
-        from themeloom.operators.tokens import with_tokens
+    def _coherence(self, docs: DataFrame, topics: DataFrame, stopwords) -> DataFrame | None:
+        """Coherence of the assigned topics' words on the new texts, a row; None with one topic or a failure."""
+        try:
+            return self._scored(docs, topics, stopwords)
+        except Exception as error:  # the run goes on without a score
+            warnings.warn(f"coherence could not be computed: {error}", stacklevel=2)
+            return None
 
+    def _scored(self, docs: DataFrame, topics: DataFrame, stopwords) -> DataFrame | None:
+        if stopwords is None:
+            stopwords = json.loads(self.model.params.get("stopwords", "[]"))
         used = topics.select("topic").distinct()
         n = used.count()
         if n < coherence.MIN_TOPICS:
@@ -117,15 +131,13 @@ class InferenceMonitor:
         words = self.model.words.join(used, "topic", "left_semi")
         texts = materialize(with_tokens(docs, "doc", stopwords), "inference-tokens")
         per_topic = coherence.topic_coherence(texts, words)
-        row = materialize(
+        return materialize(
             coherence.model_coherence(per_topic, 0.0).select(
                 F.current_timestamp().alias("timestamp"), "coherence_score",
                 F.lit(n).cast("bigint").alias("n_topics"), F.lit(self.model_name).alias("model_name"),
             ),
             "coherence",
         )
-        logs.append(row, f"{self.root}/coherence")
-        return row.head()["coherence_score"]
 
     def dashboard(self) -> DataFrame:
         """One row per model: latest drift, drift history, coherence trend and performance report."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from themeloom.operators import assign
 from themeloom.operators.corpus import combine_docs, preprocess
 from themeloom.operators.tokens import with_tokens
-from themeloom.operators.vectors import Encoder, embed
-from themeloom.plans.fit import TopicModel, fit_topics
+from themeloom.operators.vectors import VECTOR_WIDTH, Encoder, embed, hash_encoder
+from themeloom.plans.fit import HASHED, TopicModel, build_components, fit_topics
 from themeloom.plans.registry import MODEL_NAME, PRODUCTION, STAGING, Registry
-from themeloom.plans.tuning import TRIALS, TuningResult, tune
+from themeloom.plans.tuning import TRIALS, TuningResult, largest_trial, tune
 from themeloom.session import materialize
 from themeloom.sources.documents import with_doc_id, write_table
 
@@ -37,7 +38,7 @@ def _documents(df: DataFrame) -> DataFrame:
 
 def train_blue_green(
     df: DataFrame, registry: Registry, max_trials: int | None = TRIALS, name: str = MODEL_NAME,
-    stopwords=(), output_dir: str | None = None,
+    stopwords=(), output_dir: str | None = None, lemmas: DataFrame | None = None,
 ) -> Training:
     """Fit a baseline with a fixed size for production and a tuned model for staging.
 
@@ -45,10 +46,11 @@ def train_blue_green(
     written under ``output_dir`` if that is given.
     """
     docs = materialize(_documents(df).select("doc_id", "doc"), "documents")
-    baseline = fit_topics(docs, BASELINE_SIZE, stopwords=stopwords)
+    parts = build_components(docs, max(BASELINE_SIZE, largest_trial(docs, max_trials)), stopwords)  # for both models
+    baseline = fit_topics(docs, BASELINE_SIZE, components=parts, stopwords=stopwords)
     first = registry.register(baseline, BASELINE_SCORE, name)
     registry.move_to_stage(first, PRODUCTION, name)
-    tuning = tune(docs, max_trials, stopwords)
+    tuning = tune(docs, max_trials, stopwords, lemmas=lemmas, components=parts)
     tuned = fit_topics(docs, tuning.best_size, components=tuning.components, stopwords=stopwords)
     second = registry.register(tuned, tuning.best_score, name)
     registry.move_to_stage(second, STAGING, name)
@@ -59,20 +61,33 @@ def train_blue_green(
 
 
 def transform(
-    docs: DataFrame, model: TopicModel, stopwords=(), encoder: Encoder | None = None, keep=("doc_id",)
+    docs: DataFrame, model: TopicModel, stopwords=None, encoder: Encoder | None = None
 ) -> DataFrame:
-    """Topics of new documents ``(doc_id, doc)``: ``(doc_id, topic, prob)``, no shuffle."""
-    tokens = with_tokens(docs, "doc", stopwords, keep=keep)
-    vectors = embed(tokens, "tokens", encoder, keep=keep)
-    return assign.assign_topics(vectors, model.centroids, model.centroids.select("topic", "threshold"))
+    """Topics of new documents ``(doc_id, doc)``: ``(doc_id, topic, prob)``.
+
+    Stop words and encoder are the model's own. A model fitted on vectors of another encoder needs that
+    ``encoder``, over token arrays; vectors of another width than the model's are an error.
+    """
+    if stopwords is None:
+        stopwords = json.loads(model.params.get("stopwords", "[]"))
+    width, name = int(model.params.get("width", VECTOR_WIDTH)), model.params.get("encoder", HASHED)
+    if encoder is None:
+        if name != HASHED:
+            raise ValueError(f"the model was fitted on vectors of the encoder {name!r}: pass it")
+        encoder = hash_encoder(width)
+    vectors = embed(with_tokens(docs, "doc", stopwords), "tokens", encoder)
+    checked = vectors.withColumn("embedding", F.when(F.size("embedding") == width, F.col("embedding")).otherwise(
+        F.raise_error(F.lit(f"the model's vectors have {width} numbers")).cast("array<double>")
+    ))
+    return assign.assign_topics(checked, model.centroids, model.centroids.select("topic", "threshold"))
 
 
 def predict(
-    df: DataFrame, registry: Registry, stage: str = PRODUCTION, name: str = MODEL_NAME, stopwords=()
+    df: DataFrame, registry: Registry, stage: str = PRODUCTION, name: str = MODEL_NAME, encoder: Encoder | None = None
 ) -> DataFrame:
     """Clean new documents and assign topics with the model of a stage: ``(doc_id, doc, topic, prob)``."""
-    docs = _documents(df).select("doc_id", "doc")
+    docs = materialize(_documents(df).select("doc_id", "doc"), "documents")  # cleaned and deduplicated once
     model = registry.load(registry.resolve(stage, name), name)
-    return docs.join(transform(docs, model, stopwords), "doc_id").select(
+    return docs.join(transform(docs, model, encoder=encoder), "doc_id").select(
         "doc_id", "doc", F.col("topic"), "prob"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -89,27 +90,37 @@ def valid_sizes(trials: DataFrame) -> DataFrame:
 def run_trial(
     components: Components, texts: DataFrame, min_cluster_size: int,
     measure: str = "c_v", ngrams: tuple[int, int] = NGRAMS,
-) -> tuple[int, float, int]:
-    """Cluster with one size and score its valid topics; a failure or fewer than two topics is NaN."""
+) -> tuple[int, float, int, str | None]:
+    """Cluster with one size and score its valid topics; a failure or fewer than two topics is NaN.
+
+    The last value is the message of a failure.
+    """
     try:
         topics = materialize(cluster(components, min_cluster_size), "trial")
         enough = valid_topics(topic_frequency(topics)).select("topic")
         top = terms.top_terms(topic_weights(components.tokens, topics, ngrams)).join(enough, "topic", "left_semi")
         per_topic = coherence.topic_coherence(texts, materialize(top, "trial-words"), measure)
         row = coherence.model_coherence(per_topic, float("nan")).head()
-        return min_cluster_size, row["coherence_score"], row["n_topics"]
+        return min_cluster_size, row["coherence_score"], row["n_topics"], None
     except Exception as error:  # one bad trial must not end the search
-        print(f"trial with size {min_cluster_size} failed: {error}")
-        return min_cluster_size, float("nan"), 0
+        return min_cluster_size, float("nan"), 0, f"{type(error).__name__}: {error}"
+
+
+def largest_trial(docs: DataFrame, max_trials: int | None = TRIALS) -> int:
+    """The largest size that a search over ``docs`` tries."""
+    return trial_grid(docs.agg(F.count("*").alias("n")), max_trials).agg(F.max("min_cluster_size")).head()[0]
 
 
 def tune(
     docs: DataFrame, max_trials: int | None = TRIALS, stopwords=(), embeddings: DataFrame | None = None,
     lemmas: DataFrame | None = None, report_path: str | None = None, log_path: str | None = None,
-    ngrams: tuple[int, int] = NGRAMS,
+    ngrams: tuple[int, int] = NGRAMS, components: Components | None = None,
 ) -> TuningResult:
     """Grid search over the cluster size.
 
+    ``components`` made before are used again. Failed trials are reported with a warning; if all fail, so
+    does the search.
+
     The driver only loops over at most thirty sizes, a few at a time; every trial runs as Spark
     jobs over tables computed once. The valid trials can be written as a report, the run to a log.
     """
@@ -119,14 +130,19 @@ def tune(
     n = counted.head()["n"]
     if n < MIN_CORPUS_ROWS:
         raise ValueError(MIN_CORPUS_MESSAGE)
-    parts = build_components(docs, max(grid), stopwords, embeddings)
+    parts = components or build_components(docs, max(grid), stopwords, embeddings)
     texts = parts.tokens
     if lemmas is not None:
         texts = materialize(simple_tokenizer(parts.docs, "doc", stopwords, lemmas), "evaluation-tokens")
     task = inheritable_thread_target(spark)(lambda size: run_trial(parts, texts, size, ngrams=ngrams))
     with ThreadPoolExecutor(TRIALS_AT_ONCE) as pool:
         rows = list(pool.map(task, grid))
-    trials = spark.createDataFrame(rows, TUNING_SCHEMA)
+    failed = {size: message for size, *_, message in rows if message}
+    if len(failed) == len(rows):
+        raise RuntimeError(f"all trials failed: {failed}")
+    if failed:
+        warnings.warn(f"trials failed: {failed}", stacklevel=2)
+    trials = spark.createDataFrame([r[:3] for r in rows], TUNING_SCHEMA)
     best = select_min_cluster(trials).head()
     valid = valid_sizes(trials).head()["valid_sizes"]
     if report_path is not None:

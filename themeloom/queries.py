@@ -486,7 +486,7 @@ def topic_info(spark, sf):
 @query
 def rerank_keywords(spark, sf):
     both = materialize(doc_tokens(spark, sf).join(vectors.attach_embeddings(
-        given_topics(spark, sf), table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), 64
+        given_topics(spark, sf), table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), 64, "zero"
     ), "doc_id"), "tokens-and-vectors")
     own = both.select("doc_id", "topic", "tokens")
     weights = materialize(terms.ctfidf(terms.class_tf(own)), "weights")
@@ -501,7 +501,7 @@ def rerank_keywords(spark, sf):
 @query
 def embed_precomputed(spark, sf):
     found = vectors.attach_embeddings(
-        docs(spark, sf), table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), 64
+        docs(spark, sf), table(spark, sf, "embeddings").withColumnRenamed("vec_id", "doc_id"), 64, "zero"
     )
     total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x)
     return found.select("doc_id", F.size("embedding").cast("bigint").alias("width"), F.round(total, 6).alias("total"))
@@ -613,7 +613,7 @@ def inference_coherence(spark, sf):
         (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
         X.tokens(X.clean_text(F.col("text")), STOPWORDS).alias("tokens"),
     )
-    per_topic = coherence.topic_coherence(materialize(texts, "tokens"), ranked, "c_npmi")
+    per_topic = coherence.topic_coherence(materialize(texts, "tokens"), ranked)
     return coherence.model_coherence(per_topic, 0.0).select(
         F.round("coherence_score", 6).alias("coherence_score"), "n_topics"
     )
@@ -654,7 +654,7 @@ def trial_grid(spark, sf):
 
 @query
 def tuning_report(spark, sf):
-    return tuning.tune(docs(spark, sf), 4, STOPWORDS).trials
+    return tuning.tune(docs(spark, sf), stopwords=STOPWORDS, lemmas=_lemmas(spark)).trials
 
 
 @query
@@ -755,9 +755,10 @@ def _given_model(spark, sf) -> fit.TopicModel:
     texts = materialize(docs(spark, sf), "docs")
     toks = materialize(tokens.with_tokens(texts, "doc", STOPWORDS), "tokens")
     vecs = materialize(vectors.embed(toks, "tokens"), "vectors")
-    parts = fit.Components(texts, toks, vecs, vecs, vecs, 0, 0)
+    settings = fit.vector_settings(STOPWORDS, vectors.VECTOR_WIDTH)
+    parts = fit.Components(texts, toks, vecs, vecs, vecs, 0, 0, settings)
     topics = given_topics(spark, sf).join(texts.select("doc_id"), "doc_id")
-    return fit.describe_topics(parts, materialize(topics, "topics"), ngrams=(1, 1), rerank=False)
+    return fit.describe_topics(parts, materialize(topics, "topics"))
 
 
 def unseen(spark, sf):
@@ -772,7 +773,7 @@ def _monitored(spark, sf) -> monitor.InferenceMonitor:
     baseline = terms.words_by_topic(model.words)
     watcher = monitor.InferenceMonitor(spark, work_path(spark, "monitor"), model, baseline)
     new = materialize(unseen(spark, sf), "unseen")
-    result = watcher.run_inference(new, STOPWORDS)
+    result = watcher.run_inference(new)
     if result.status == "error":
         raise RuntimeError(result.error_message)
     return watcher
@@ -784,7 +785,7 @@ def monitored_inference(spark, sf):
     watcher = monitor.InferenceMonitor(
         spark, work_path(spark, "monitor"), model, terms.words_by_topic(model.words)
     )
-    return watcher.run_inference(materialize(unseen(spark, sf), "unseen"), STOPWORDS, with_coherence=False).topics
+    return watcher.run_inference(materialize(unseen(spark, sf), "unseen")).topics
 
 
 @query
@@ -830,7 +831,7 @@ def model_versions(spark, sf):
 @query
 def train_blue_green(spark, sf):
     store = registry.Registry(spark, work_path(spark, "registry"))
-    train.train_blue_green(raw_documents(spark, sf), store, 3, stopwords=STOPWORDS)
+    train.train_blue_green(raw_documents(spark, sf), store, stopwords=STOPWORDS, lemmas=_lemmas(spark))
     return store.versions().join(registry.current_stages(store.stage_events()), ["model_name", "version"]).select(
         "model_name", "version", "stage", F.col("metrics")["coherence_score"].alias("coherence_score"),
         F.col("params")["min_cluster_size"].alias("min_cluster_size"),
@@ -844,7 +845,7 @@ def predict(spark, sf):
     new = table(spark, sf, "benchmark").select(
         F.col("item_id").alias("doc_id"), X.title_line(F.col("text")).alias("Title"), F.col("text").alias("Abstract")
     )
-    return train.predict(new, store, stopwords=STOPWORDS).select("doc_id", "topic", F.round("prob", 6).alias("prob"))
+    return train.predict(new, store).select("doc_id", "topic", F.round("prob", 6).alias("prob"))
 
 
 # ---- streaming -----------------------------------------------------------------------------------
@@ -886,7 +887,7 @@ def stream_assign_documents(spark, sf):
     arriving = stream_table(spark, sf, "benchmark").select(
         F.col("item_id").alias("doc_id"), X.clean_text(F.col("text")).alias("doc")
     )
-    return _run_to_table(assign_stream(arriving, _given_model(spark, sf), STOPWORDS), "assigned")
+    return _run_to_table(assign_stream(arriving, _given_model(spark, sf)), "assigned")
 
 
 def _events(spark, sf):

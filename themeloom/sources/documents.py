@@ -22,16 +22,19 @@ def read_documents(
     fmt: str = "csv",
     schema: T.StructType | str | None = DOCUMENT_SCHEMA,
     required: tuple[str, ...] = REQUIRED_COLUMNS,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Scan a document table; CSV with a header and quoted fields that may hold line breaks.
 
-    A missing path is a ``ValueError``; a missing required column is a ``KeyError``. For CSV the
-    header is read first, so columns may stand in any order and extra ones stay as strings.
+    With ``multi_line`` a CSV file is one task, since a quoted line break can stand anywhere; without it
+    files are split. A large corpus belongs in Parquet. A missing path is a ``ValueError``; a missing required column is a ``KeyError``. For CSV the
+    header is read first, so columns may stand in any order and extra ones stay as strings; those that
+    ``schema`` names get its types.
     """
     reader = spark.read
     if fmt == "csv":
         reader = (
-            reader.option("header", True).option("multiLine", True)
+            reader.option("header", True).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').option("inferSchema", False)
         )
     elif schema is not None and fmt == "json":
@@ -43,6 +46,10 @@ def read_documents(
             raise ValueError(f"File not found: {path}") from error
         raise
     require_columns(df, required)
+    if schema is not None and fmt == "csv":
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        kinds = {f.name: f.dataType for f in wanted if f.name in df.columns}
+        df = df.select(*(F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns))
     return df
 
 

@@ -8,9 +8,10 @@ from themeloom.plans.fit import TopicModel
 from themeloom.plans.train import transform
 
 
-def assign_stream(docs: DataFrame, model: TopicModel, stopwords=()) -> DataFrame:
+def assign_stream(docs: DataFrame, model: TopicModel, stopwords=None) -> DataFrame:
     """Streaming ``(doc_id, doc)`` to ``(doc_id, topic, prob)``.
 
-    Stateless and append-only: centroids are read when the query starts, nothing shuffles.
+    Stateless and append-only: centroids and settings are the model's when the query starts; one join with
+    the topics' thresholds, no state.
     """
     return transform(docs, model, stopwords)
