@@ -340,14 +340,17 @@ def renumber(clusters: DataFrame) -> DataFrame:
     )
 
 
-def spanning_tree(points: DataFrame, neighbours: DataFrame, k: int, cell_rows: int = CELL_ROWS) -> DataFrame:
+def spanning_tree(
+    points: DataFrame, neighbours: DataFrame, k: int, cell_rows: int = CELL_ROWS, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Spanning tree under mutual reachability of order ``k``: the neighbour graph's forest, made one tree."""
-    forest = materialize(minimum_spanning_forest(mutual_reachability(neighbours, k)), "forest")
+    forest = materialize(minimum_spanning_forest(mutual_reachability(neighbours, k), one_task_rows), "forest")
     return connect_trees(points, forest, core_distances(neighbours, k), cell_rows)
 
 
 def density_clusters(
-    points: DataFrame, min_cluster_size: int, neighbours: DataFrame | None = None, cell_rows: int = CELL_ROWS
+    points: DataFrame, min_cluster_size: int, neighbours: DataFrame | None = None, cell_rows: int = CELL_ROWS,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Density clusters of ``(id, embedding)`` as ``(id, topic)``, outliers -1.
 
@@ -355,5 +358,5 @@ def density_clusters(
     """
     if neighbours is None:
         neighbours = materialize(knn_graph(points, min_cluster_size, cell_rows=cell_rows), "neighbours")
-    forest = spanning_tree(points, neighbours, min_cluster_size, cell_rows)
-    return renumber(materialize(cluster_forest(points, forest, min_cluster_size), "clusters"))
+    forest = spanning_tree(points, neighbours, min_cluster_size, cell_rows, one_task_rows)
+    return renumber(materialize(cluster_forest(points, forest, min_cluster_size, one_task_rows), "clusters"))

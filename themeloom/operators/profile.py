@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from themeloom.functions.text import count_words
 from themeloom.operators.tokens import term_counts
+from themeloom.session import materialize
 
 # Fixed values
 TOP_WORDS = 20
@@ -55,7 +56,8 @@ def doc_lengths(df: DataFrame, column: str) -> DataFrame:
 
 
 def _length_counts(lengths: DataFrame) -> DataFrame:
-    return lengths.groupBy("n_words").agg(F.count("*").alias("n"))
+    """One row per distinct length, written once, so the texts are read once whatever uses it."""
+    return materialize(lengths.groupBy("n_words").agg(F.count("*").alias("n")), "length-counts")
 
 
 def length_histogram(lengths: DataFrame, bins: int = REPORT_BINS) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,17 +45,38 @@ def lemmatize_rows(rows: DataFrame, lemmas: DataFrame) -> DataFrame:
     return rows.join(table, "token", "left").select(*columns)
 
 
+def _map_tokens(arrays: DataFrame, forms: pa.Table) -> DataFrame:
+    """Replace the tokens that ``forms (word, lemma)`` knows."""
+    kind = arrays.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        words, lemmas = forms.column("word").combine_chunks(), forms.column("lemma").combine_chunks()
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten()
+            at = pc.index_in(flat, value_set=words.cast(flat.type))
+            flat = pc.coalesce(lemmas.cast(flat.type).take(at), flat)
+            ends = pa.array(np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]), pa.int32())
+            yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(ends, flat)], ["doc_id", "tokens"])
+
+    return arrays.mapInArrow(run, f"doc_id {kind}, tokens array<string>")
+
+
 def simple_tokenizer(
     docs: DataFrame, text: str = "doc", stopwords=(), lemmas: DataFrame | None = None
 ) -> DataFrame:
     """Tokens for evaluation: ``(doc_id, tokens)`` in text order, duplicates kept.
 
-    Without lemmas this is a plain projection. With lemmas the tokens are exploded, joined with the
-    broadcast map and put back in order, one document per group; empty documents stay.
+    Without lemmas this is a plain projection. With lemmas the arrays are mapped batch by batch through a
+    dictionary of the lexicon's size, without a shuffle. A larger map (checked) is joined instead: tokens are
+    exploded and put back in order, one document per group. Empty documents stay.
     """
     arrays = with_tokens(docs, text, stopwords)
     if lemmas is None:
         return arrays
+    forms = lemmas.select("word", "lemma").limit(LEMMA_FORMS + 1).toArrow()
+    if forms.num_rows <= LEMMA_FORMS:
+        return _map_tokens(arrays, forms)
     rows = lemmatize_rows(token_rows(arrays, outer=True), lemmas)
     pairs = F.sort_array(
         F.collect_list(F.when(F.col("token").isNotNull(), F.struct("pos", "token")))

@@ -455,6 +455,62 @@ SELECTS: dict[str, str] = {
     ),
 }
 
+SELECTS.update({f"stream_counts_{k}": SELECTS[f"window_counts_{k}"] for k in ("tumbling", "sliding", "session")})
+
+
+def _hash_vectors(source: str) -> str:
+    """Hashed projections of ``source(doc_id, tokens)`` as ``(doc_id, e)``."""
+    return (
+        f"SELECT d.doc_id, list(CASE WHEN len > 0 THEN coalesce(x, 0) / len ELSE 0.0 END ORDER BY d.dim) AS e FROM "
+        f"(SELECT doc_id, unnest(range(64)) AS dim FROM {source}) d LEFT JOIN "
+        "(SELECT doc_id, dim, sum(n * CASE WHEN substr(md5(term || ':' || (dim // 32)), dim % 32 + 1, 1) >= '8' THEN 1 ELSE -1 END)::DOUBLE AS x "
+        f"FROM (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM {source}) GROUP BY ALL), "
+        "(SELECT unnest(range(64)) AS dim) GROUP BY doc_id, dim) s ON s.doc_id = d.doc_id AND s.dim = d.dim "
+        "LEFT JOIN (SELECT doc_id, sqrt(sum(x * x)) AS len FROM (SELECT doc_id, dim, "
+        "sum(n * CASE WHEN substr(md5(term || ':' || (dim // 32)), dim % 32 + 1, 1) >= '8' THEN 1 ELSE -1 END)::DOUBLE AS x "
+        f"FROM (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM {source}) GROUP BY ALL), "
+        "(SELECT unnest(range(64)) AS dim) GROUP BY doc_id, dim) GROUP BY doc_id) l ON l.doc_id = d.doc_id GROUP BY d.doc_id"
+    )
+
+
+# a model with given topics, serving the benchmark texts
+CTES["unseen_tokens"] = f"SELECT item_id AS doc_id, {no_stop(words(clean('text')))} AS tokens FROM benchmark"
+CTES["unseen_vecs"] = _hash_vectors("unseen_tokens")
+CTES["own_vecs"] = _hash_vectors("doc_tokens")
+CTES["own_topics"] = "SELECT v.doc_id, g.topic, v.e FROM own_vecs v JOIN given g USING (doc_id) WHERE g.topic <> -1"
+CTES["own_centres"] = (
+    "SELECT topic, list(m ORDER BY dim) AS c FROM (SELECT topic, dim, avg(x) AS m FROM "
+    "(SELECT topic, unnest(range(64)) AS dim, unnest(e) AS x FROM own_topics) GROUP BY topic, dim) GROUP BY topic"
+)
+
+
+def _cosine(a: str, b: str) -> str:
+    return f"round(coalesce(nullif(list_cosine_similarity({a}, {b}), 'nan'::DOUBLE), 0.0), 9)"
+
+
+CTES["own_cuts"] = f"SELECT topic, quantile_disc({_cosine('e', 'c')}, 0.05) AS cut FROM own_topics JOIN own_centres USING (topic) GROUP BY topic"
+CTES["unseen_nearest"] = (
+    "SELECT doc_id, topic, s FROM (SELECT doc_id, topic, s, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, topic) AS r FROM "
+    f"(SELECT v.doc_id, c.topic, {_cosine('e', 'c')} AS s FROM unseen_vecs v CROSS JOIN own_centres c)) WHERE r = 1"
+)
+SERVED = (
+    "SELECT doc_id, CASE WHEN s >= cut THEN topic ELSE -1 END AS topic, round(s, 6) AS prob FROM unseen_nearest JOIN own_cuts USING (topic)"
+)
+SELECTS["stream_assign_documents"] = SELECTS["monitored_inference"] = SERVED
+N_GIVEN = "(SELECT count(DISTINCT topic) FROM docs JOIN given USING (doc_id))"
+SELECTS["model_versions"] = (
+    f"SELECT 'topic-model' AS model_name, v AS version, stage, score AS coherence_score, {N_GIVEN}::VARCHAR AS n_topics "
+    "FROM (VALUES (1, 'Production', 0.5::DOUBLE), (2, 'Staging', 0.6::DOUBLE)) t(v, stage, score)"
+)
+SELECTS["performance_report"] = (
+    f"SELECT (SELECT count(*) FROM benchmark) AS n_documents, {N_GIVEN} AS n_topics, false AS drift_detected, 'LOW' AS drift_level, 'topic-model' AS model_name"
+)
+SELECTS["monitoring_dashboard"] = (
+    "SELECT 'topic-model' AS model_name, 'LOW' AS drift_level, 1 AS n_drift, (count(DISTINCT topic) >= 2)::INTEGER AS n_coherence, 1 AS n_runs "
+    f"FROM ({SERVED})"
+)
+SELECTS["coherence_trend"] = f"SELECT count(DISTINCT topic) AS n_topics, 'topic-model' AS model_name FROM ({SERVED})"
+
 
 def oracle(name: str) -> str:
     """The select with the common table expressions it needs."""

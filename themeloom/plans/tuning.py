@@ -125,9 +125,10 @@ def tune(
     jobs over tables computed once. The valid trials can be written as a report, the run to a log.
     """
     spark = docs.sparkSession
-    counted = docs.agg(F.count("*").alias("n"))
+    docs = components.docs if components is not None else materialize(docs.select("doc_id", "doc"), "documents")
+    n = docs.count()
+    counted = spark.createDataFrame([(n,)], "n bigint")
     grid = [r["min_cluster_size"] for r in trial_grid(counted, max_trials).collect()]
-    n = counted.head()["n"]
     if n < MIN_CORPUS_ROWS:
         raise ValueError(MIN_CORPUS_MESSAGE)
     parts = components or build_components(docs, max(grid), stopwords, embeddings)

@@ -33,6 +33,7 @@ VERBS = ("be", "have", "ent", "there", "thing", "rest", "ented", "en", "ed", "er
 EXCEPTIONS = (("was", "be"), ("were", "be"), ("had", "have"), ("has", "have"), ("thand", "then"))
 
 NEIGHBOURS = 5
+PIECE_ROWS = 200  # small pieces, so that forests and merge trees are built in many tasks at any size
 BEST_DIGITS = 6
 
 
@@ -535,7 +536,7 @@ def mutual_reachability(spark, sf):
 @query
 def mst(spark, sf):
     near = materialize(neighbours.knn_graph(points(spark, sf), NEIGHBOURS, digits=BEST_DIGITS), "neighbours")
-    return minimum_spanning_forest(neighbours.mutual_reachability(near, NEIGHBOURS))
+    return minimum_spanning_forest(neighbours.mutual_reachability(near, NEIGHBOURS), PIECE_ROWS)
 
 
 @query
@@ -544,7 +545,7 @@ def density_clusters(spark, sf):
     reduced = materialize(
         vectors.reduce_pca(encoded).select(F.col("doc_id").alias("id"), "embedding"), "reduced"
     )
-    return density.density_clusters(reduced, 13).select(F.col("id").alias("doc_id"), "topic")
+    return density.density_clusters(reduced, 13, one_task_rows=PIECE_ROWS).select(F.col("id").alias("doc_id"), "topic")
 
 
 @query
@@ -785,7 +786,9 @@ def monitored_inference(spark, sf):
     watcher = monitor.InferenceMonitor(
         spark, work_path(spark, "monitor"), model, terms.words_by_topic(model.words)
     )
-    return watcher.run_inference(materialize(unseen(spark, sf), "unseen")).topics
+    return watcher.run_inference(materialize(unseen(spark, sf), "unseen")).topics.select(
+        "doc_id", "topic", F.round("prob", 6).alias("prob")
+    )
 
 
 @query
@@ -797,12 +800,16 @@ def drift_history(spark, sf):
 
 @query
 def coherence_trend(spark, sf):
-    return _monitored(spark, sf).coherence_trend()
+    """The times and the score of re-ranked n-grams have no SQL form here; the rest has."""
+    return _monitored(spark, sf).coherence_trend().select("n_topics", "model_name")
 
 
 @query
 def performance_report(spark, sf):
-    return _monitored(spark, sf).performance_report()
+    """Without the times of the run and the score."""
+    return _monitored(spark, sf).performance_report().select(
+        "n_documents", "n_topics", "drift_detected", "drift_level", "model_name"
+    )
 
 
 @query
@@ -887,7 +894,8 @@ def stream_assign_documents(spark, sf):
     arriving = stream_table(spark, sf, "benchmark").select(
         F.col("item_id").alias("doc_id"), X.clean_text(F.col("text")).alias("doc")
     )
-    return _run_to_table(assign_stream(arriving, _given_model(spark, sf)), "assigned")
+    placed = _run_to_table(assign_stream(arriving, _given_model(spark, sf)), "assigned")
+    return placed.select("doc_id", "topic", F.round("prob", 6).alias("prob"))
 
 
 def _events(spark, sf):
@@ -916,6 +924,37 @@ def window_counts_session(spark, sf):
     return _as_text(session_counts(_events(spark, sf), "user_id", gap="6 hours"))
 
 
+def _final_counts(counts: DataFrame, name: str) -> DataFrame:
+    """Run a windowed count over a stream to its end; every batch replaces the table of counts."""
+    spark = counts.sparkSession
+    path = work_path(spark, name)
+    run = (
+        counts.writeStream.outputMode("complete").option("checkpointLocation", f"{path}-checkpoint")
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(path)).trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def _event_stream(spark, sf):
+    return stream_table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query
+def stream_counts_tumbling(spark, sf):
+    return _as_text(_final_counts(window_counts(_event_stream(spark, sf), "event_type"), "tumbling"))
+
+
+@query
+def stream_counts_sliding(spark, sf):
+    return _as_text(_final_counts(window_counts(_event_stream(spark, sf), "event_type", slide="6 hours"), "sliding"))
+
+
+@query
+def stream_counts_session(spark, sf):
+    return _as_text(_final_counts(session_counts(_event_stream(spark, sf), "user_id", gap="6 hours"), "sessions"))
+
+
 @query
 def stream_drift(spark, sf):
     """Conversations arriving as a stream, turns as topics, against the documents' topic words."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # Tables whose size was counted first and found at or below this many rows may be
 # handled by one task. Everything larger takes the distributed way.
-ONE_TASK_ROWS = 2_000_000
+ONE_TASK_ROWS = 100_000
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
