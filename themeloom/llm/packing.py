@@ -1,7 +1,7 @@
 """Packing token streams into windows by multiway differencing.
 
-Documents are cut into full windows and a remainder; remainders are cut into pieces of a quarter window
-at most. Groups of some hundred documents are dealt by a hash, and each group's pieces are spread over m
+Documents are cut into full windows and a remainder, the remainder into a half, a quarter and two eighths:
+pieces of many sizes balance better than equal ones. Groups of some hundred documents are dealt by a hash, and each group's pieces are spread over m
 windows by the differencing method of Karmarkar and Karp: every piece begins as a partial partition
 (its size and m - 1 zeros), the two partitions with the widest spread are merged, the fullest window
 of one with the emptiest of the other, until one is left. If its fullest window holds more than the
@@ -26,6 +26,7 @@ from themeloom.llm.common import keyed_texts, ragged, slices
 from themeloom.session import work_path
 
 WINDOW = 1024
+PIECES_OF_REST, LEAST_PIECE = 4, 8  # a remainder's pieces, and the tokens below which none is halved
 GROUP_DOCS = 512  # documents spread together, on average
 SEQUENCE_BITS = 36  # a sequence id is the group's number and, in these low bits, the window's
 PIECES = "doc_key bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
@@ -34,8 +35,11 @@ PIECES = "doc_key bigint, doc_id bigint, start bigint, length bigint, doc_tokens
 def cut(n: int, window: int = WINDOW) -> tuple[int, list[int]]:
     """Full windows of a document of ``n`` tokens, and the sizes of its remaining pieces."""
     full, rest = divmod(n, window)
-    parts = -(-rest // max(1, window // 4))
-    return full, [rest // parts + (k < rest % parts) for k in range(parts)]
+    pieces: list[int] = []
+    while rest >= 2 * LEAST_PIECE and len(pieces) < PIECES_OF_REST - 1:
+        pieces.append(rest // 2)
+        rest -= rest // 2
+    return full, pieces + [rest] * (rest > 0)
 
 
 def difference(sizes: np.ndarray, m: int) -> np.ndarray:
@@ -76,9 +80,11 @@ def spread(sizes: np.ndarray, capacity: int = WINDOW) -> tuple[np.ndarray, np.nd
     m = max(1, -(-total // capacity), total // (capacity - capacity // 512))  # full to the last token hardly ever works
     while True:
         window = difference(sizes, m)
-        if np.bincount(window, sizes, minlength=m).max() <= capacity:
+        fullest = int(np.bincount(window, sizes, minlength=m).max())
+        if fullest <= capacity:
             break
-        m += max(1, m // 256)
+        # as many windows as bring the fullest down to the capacity if it stays as far above the mean
+        m = max(m + 1, -(-total // max(1, capacity - (fullest - total // m))))
     order = np.argsort(window, kind="stable")
     filled = np.cumsum(sizes[order]) - sizes[order]
     first = np.searchsorted(window[order], np.arange(m))
