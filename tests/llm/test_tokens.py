@@ -173,7 +173,7 @@ def test_long_words_and_queue():
 @settings(max_examples=80, deadline=None)
 def test_unigram_takes_the_best_total(text, scores):
     names = sorted(scores)
-    v = pieces.Vocabulary(names, np.array([scores[n] for n in names]), {}, 0, False, max(map(len, names)), {n: i for i, n in enumerate(names)})
+    v = pieces.Vocabulary(names, np.array([scores[n] for n in names]), {}, 0, False, {n: i for i, n in enumerate(names)})
     starts, lengths, ids = pieces.edges([text], v)
     every = {(s, len(n), i) for i, n in enumerate(names) for s in range(len(text)) if text.startswith(n, s)}
     assert set(zip(starts.tolist(), lengths.tolist(), ids.tolist())) == every

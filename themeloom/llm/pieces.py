@@ -18,7 +18,7 @@ each. Surrogates cannot occur in Spark strings. An empty table gives no rows. Ot
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from themeloom.llm.common import keyed_texts, ragged, slices
 
 SPACE = "▁"  # fixed value: stands for a blank in pieces
-CACHE_WORDS = 300_000  # words a task remembers between batches
+CACHE_WORDS = 150_000  # words a task remembers between batches
+BLOCK_CHARS = 1 << 17  # characters indexed at once; a longer word stands alone
+SLICE_TOKENS = 1 << 19  # ids decoded at once
 LONG_WORD = 64  # characters from which a word is merged by a queue
 UNKNOWN_PENALTY = 10.0  # below the worst score, for characters outside a unigram vocabulary
 
@@ -42,8 +44,14 @@ class Vocabulary:
     bytes_: dict[int, int]  # byte -> id
     unknown: int
     merges: bool
-    longest: int = 0
-    found: dict[str, int] = field(default_factory=dict)
+    found: dict[str, int]  # piece -> id, without special and byte pieces
+
+    def __post_init__(self):
+        self.longest = max(map(len, self.found), default=1)
+        self.ids = np.array(list(self.found.values()), np.int64)
+        self.sizes = np.array([len(p) for p in self.found], np.int64)
+        padded = "".join(p.ljust(self.longest, "\0") for p in self.found)
+        self.letters = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64).reshape(-1, self.longest)
 
     @staticmethod
     def load(path: str, merges: bool = True) -> Vocabulary:
@@ -56,59 +64,52 @@ class Vocabulary:
         bytes_ = {int(pieces[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         found = {p: i for i, p in enumerate(pieces) if not special[i] and not model.is_byte(i)}
         scores = np.array([model.get_score(i) for i in range(n)])
-        return Vocabulary(pieces, scores, bytes_, model.unk_id(), merges, max(map(len, found), default=1), found)
+        return Vocabulary(pieces, scores, bytes_, model.unk_id(), merges, found)
 
     def crossing(self) -> bool:
         """Whether a piece holds a blank after another character, so that words are not independent."""
         return any(SPACE in p.lstrip(SPACE) for p in self.found)
 
 
-def suffixes(flat: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in the order of the ``depth`` characters that begin there, and those characters as sortable rows."""
-    codes, symbols = np.unique(flat, return_inverse=True)
-    width = max(1, int(len(codes)).bit_length())  # 0 stands for the end
-    per_key = 63 // width
-    padded = np.concatenate([symbols + 1, np.zeros(depth, np.int64)])
+def _packed(columns, width: int, per_key: int) -> np.ndarray:
+    """Rows of codes, given column by column, as rows of sortable numbers."""
     keys = []
-    for at in range(0, depth, per_key):
-        key = np.zeros(len(flat), np.int64)
+    for at in range(0, len(columns), per_key):
+        key = np.zeros(len(columns[0]), np.int64)
         for k in range(per_key):
-            key = (key << width) | (padded[at + k : at + k + len(flat)] if at + k < depth else 0)
+            key = (key << width) | (columns[at + k] if at + k < len(columns) else 0)
         keys.append(key)
-    return np.lexsort(keys[::-1]), np.stack(keys, axis=1)
+    return np.stack(keys, axis=1)
 
 
 def edges(words: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, length and id of every piece's occurrences in the words laid end to end, sorted by place and length.
 
-    A closing character that no piece holds stands after every word, so no edge leaves its word.
+    The suffix array is sorted by as many characters as the longest piece has. A closing character that no piece
+    holds stands after every word, so no edge leaves its word.
     """
     text = "\0".join(words) + "\0"
     flat = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     depth = vocabulary.longest
-    order, keys = suffixes(flat, depth)
-    codes = np.unique(flat)
-    width = max(1, int(len(codes)).bit_length())
-    per_key = 63 // width
-    place = {chr(c): i + 1 for i, c in enumerate(codes.tolist())}
-    held = [(p, i) for p, i in vocabulary.found.items() if all(c in place for c in p) and "\0" not in p]
-    if not held:
+    codes, symbols = np.unique(flat, return_inverse=True)
+    width = max(1, int(len(codes) + 1).bit_length())  # 0 stands for the end
+    per_key, above = 63 // width, (1 << width) - 1
+    padded = np.concatenate([symbols + 1, np.zeros(depth, np.int64)])
+    rows = _packed([padded[k : k + len(flat)] for k in range(depth)], width, per_key)
+    order = np.lexsort(rows.T[::-1])
+    rows = rows[order]
+    letters, size, ids = vocabulary.letters, vocabulary.sizes, vocabulary.ids
+    at = np.minimum(np.searchsorted(codes, letters), len(codes) - 1)
+    known = ((codes[at] == letters) & (letters > 0)) | (np.arange(letters.shape[1]) >= size[:, None])
+    held = known.all(axis=1)
+    if not held.any():
         none = np.zeros(0, np.int64)
         return none, none, none
-    n_keys = keys.shape[1]
-    low, high = np.zeros((len(held), n_keys), np.int64), np.zeros((len(held), n_keys), np.int64)
-    for r, (piece, _) in enumerate(held):
-        for k in range(n_keys):
-            a = b = 0
-            for c in range(per_key):
-                at = k * per_key + c
-                a = (a << width) | (place[piece[at]] if at < len(piece) else 0)
-                b = (b << width) | (place[piece[at]] if at < len(piece) else ((1 << width) - 1 if at < depth else 0))
-            low[r, k], high[r, k] = a, b
-    rows = keys[order]
+    local, size, ids = at[held] + 1, size[held], ids[held]
+    inside = np.arange(depth)[None, :] < size[:, None]
+    low = _packed(list(np.where(inside, local, 0).T), width, per_key)
+    high = _packed(list(np.where(inside, local, above).T), width, per_key)
     first, last = _search(rows, low, False), _search(rows, high, True)
-    size = np.array([len(p) for p, _ in held], np.int64)
-    ids = np.array([i for _, i in held], np.int64)
     count = last - first
     start = order[ragged(first, count)]
     length, ids = np.repeat(size, count), np.repeat(ids, count)
@@ -331,8 +332,12 @@ class PieceEncoder:
         if fresh:
             inside = self._cut(fresh)
             new = list(dict.fromkeys(p for own in inside for p in own if p not in self.parts))
-            if new:
-                self._relax(new)
+            ends = np.cumsum([len(p) + 1 for p in new])
+            at = 0
+            while at < len(new):
+                upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_CHARS, side="right")))
+                self._relax(new[at:upto])
+                at = upto
             for word, own in zip(fresh, inside):
                 self.words_[word] = self.parts[own[0]] if len(own) == 1 else tuple(i for p in own for i in self.parts[p])
         known = self.words_
@@ -355,7 +360,7 @@ def encode_texts(docs: DataFrame, model: str, merges: bool = True) -> DataFrame:
     def run(batches):
         encoder = PieceEncoder(model, merges)
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text", 2 << 20):
                 ids = encoder.encode(batch.column(1).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
@@ -375,17 +380,23 @@ def decode_texts(encoded: DataFrame, model: str) -> DataFrame:
         parts = pa.array(
             [bytes([by_id[i]]) if i in by_id else p.replace(SPACE, " ").encode() for i, p in enumerate(vocabulary.pieces)], pa.binary()
         )
-        for batch in batches:
-            lists = batch.column(1)
-            flat = parts.take(lists.flatten())
-            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
-            offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
-            data = flat.buffers()[2].to_pybytes() if flat.buffers()[2] is not None else b""
-            at = offsets[ends].tolist()
-            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])]
-            yield pa.record_batch(
-                [batch.column(0), lists, pa.array([t[1:] if t.startswith(" ") else t for t in texts], pa.string())],
-                ["doc_id", "ids", "text"],
-            )
+        for whole in batches:
+            total = np.cumsum(whole.column(1).value_lengths().fill_null(0).to_numpy())
+            at = 0
+            while at < whole.num_rows:
+                upto = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE_TOKENS, side="right")))
+                batch = whole.slice(at, upto - at)
+                lists = batch.column(1)
+                flat = parts.take(lists.flatten())
+                ends = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+                offsets = np.frombuffer(flat.buffers()[1], np.int32)[flat.offset : flat.offset + len(flat) + 1]
+                data = flat.buffers()[2].to_pybytes() if flat.buffers()[2] is not None else b""
+                places = offsets[ends].tolist()
+                texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(places, places[1:])]
+                yield pa.record_batch(
+                    [batch.column(0), lists, pa.array([t[1:] if t.startswith(" ") else t for t in texts], pa.string())],
+                    ["doc_id", "ids", "text"],
+                )
+                at = upto
 
     return encoded.mapInArrow(run, "doc_id bigint, ids array<int>, text string")
