@@ -4,7 +4,7 @@ The number of slots never changes; only the slot-to-shard map does. A map is a t
 shard``; rebalancing writes the next version and moves as few slots as the balance of bytes needs.
 Column functions and SQL only.
 
-Nulls and odd rows: a null text has no bytes, a record without id hashes like any other value, rows of
+Nulls and odd rows: a null text has no bytes, a record without id hashes by its checksum, rows of
 one id share a slot and are told apart by their checksum. An empty table gives maps of empty slots and
 no records. Other columns are ignored.
 """
@@ -19,8 +19,9 @@ from themeloom.session import materialize
 SLOTS = 4096
 
 
-def slot_of(doc_id: Column, slots: int = SLOTS) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(slots)).cast("int")
+def slot_of(doc_id: Column, otherwise: Column, slots: int = SLOTS) -> Column:
+    """Slot of an id; records without one are spread by ``otherwise``."""
+    return F.pmod(F.xxhash64(doc_id, F.when(doc_id.isNull(), otherwise)), F.lit(slots)).cast("int")
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
@@ -29,7 +30,7 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots
     doc_id = docs[id_col].cast("bigint")
     return docs.select(
         doc_id.alias("doc_id"), (F.octet_length(text) + 1).cast("bigint").alias("size"),
-        F.crc32(text).alias("text_crc32"), slot_of(doc_id, slots).alias("virtual_slot"),
+        F.crc32(text).alias("text_crc32"), slot_of(doc_id, F.crc32(text), slots).alias("virtual_slot"),
     )
 
 
