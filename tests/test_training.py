@@ -123,6 +123,18 @@ def test_tuning_and_training(spark, docs, monkeypatch):
         tuning.tune(docs, 2, components=result.components)
 
 
+def test_a_trial_leaves_no_tables(spark, docs):
+    import os
+
+    from themeloom.session import shared_dir
+
+    parts = fit.build_components(docs, 8, ("the", "and"))
+    folder = f"{shared_dir(spark)}/themeloom".removeprefix("file://")
+    before = set(os.listdir(folder))
+    size, score, n_topics, message = tuning.run_trial(parts, parts.tokens, 8)
+    assert message is None and n_topics >= 2 and set(os.listdir(folder)) == before
+
+
 def test_failed_coherence_keeps_the_run(spark, model, docs, monkeypatch):
     watcher = InferenceMonitor(spark, work_path(spark, "monitor"), model, terms.words_by_topic(model.words))
     monkeypatch.setattr(coherence, "topic_coherence", lambda *a, **k: 1 / 0)

@@ -15,7 +15,7 @@ from themeloom.operators.corpus import MIN_CORPUS_MESSAGE, MIN_CORPUS_ROWS, vali
 from themeloom.operators.profile import topic_frequency
 from themeloom.operators.tokens import simple_tokenizer
 from themeloom.plans.fit import NGRAMS, Components, build_components, cluster, topic_weights
-from themeloom.session import materialize
+from themeloom.session import materialize, temporary_tables
 from themeloom.sources.documents import write_table
 from themeloom.sources.logs import TUNING_SCHEMA, log_experiment
 
@@ -96,11 +96,12 @@ def run_trial(
     The last value is the message of a failure.
     """
     try:
-        topics = materialize(cluster(components, min_cluster_size), "trial")
-        enough = valid_topics(topic_frequency(topics)).select("topic")
-        top = terms.top_terms(topic_weights(components.tokens, topics, ngrams)).join(enough, "topic", "left_semi")
-        per_topic = coherence.topic_coherence(texts, materialize(top, "trial-words"), measure)
-        row = coherence.model_coherence(per_topic, float("nan")).head()
+        with temporary_tables(components.docs.sparkSession):
+            topics = materialize(cluster(components, min_cluster_size), "trial")
+            enough = valid_topics(topic_frequency(topics)).select("topic")
+            top = terms.top_terms(topic_weights(components.tokens, topics, ngrams)).join(enough, "topic", "left_semi")
+            per_topic = coherence.topic_coherence(texts, materialize(top, "trial-words"), measure)
+            row = coherence.model_coherence(per_topic, float("nan")).head()
         return min_cluster_size, row["coherence_score"], row["n_topics"], None
     except Exception as error:  # one bad trial must not end the search
         return min_cluster_size, float("nan"), 0, f"{type(error).__name__}: {error}"

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,12 +37,33 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/themeloom/{name}-{uuid.uuid4().hex}"
 
 
+_scope = threading.local()
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Delete what ``materialize`` writes inside, at the end: for work whose result is taken out of Spark or
+    written elsewhere. Scopes belong to a thread; an inner one keeps its own list.
+    """
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        written, _scope.paths = _scope.paths, outer
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in written:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Cuts the lineage, survives the loss of executors, and fixes values such as generated ids.
     """
     path = work_path(df.sparkSession, name)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

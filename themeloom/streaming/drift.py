@@ -12,6 +12,7 @@ from themeloom.operators import terms
 from themeloom.operators.drift import detect_drift
 from themeloom.operators.tokens import with_tokens
 from themeloom.plans.registry import MODEL_NAME
+from themeloom.session import temporary_tables
 from themeloom.sources import logs
 
 
@@ -34,11 +35,12 @@ def drift_stream(
     def record(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            words = batch_words(kept, assign(kept), stopwords)
-            row = detect_drift(baseline, words, F.current_timestamp(), F.current_timestamp()).withColumns(
-                {"model_name": F.lit(model_name)}
-            )
-            row.write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
+            with temporary_tables(batch.sparkSession):
+                words = batch_words(kept, assign(kept), stopwords)
+                row = detect_drift(baseline, words, F.current_timestamp(), F.current_timestamp()).withColumns(
+                    {"model_name": F.lit(model_name)}
+                )
+                row.write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")
         finally:
             kept.unpersist()
 
