@@ -10,10 +10,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from themeloom.llm.common import ragged, text_bytes
+from themeloom.llm.common import of_worker, ragged, text_bytes
 
 LETTER, DIGIT, SIGN, GAP = 1, 2, 3, 4
-CACHE_UNITS = 400_000  # encoded units a task remembers between batches
+CACHE_UNITS = 400_000  # encoded units a Python worker remembers between batches and tasks
 
 
 def _kinds() -> np.ndarray:
@@ -43,8 +43,13 @@ def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+def unit_encoder(path: str) -> UnitEncoder:
+    """The encoder of this Python worker."""
+    return of_worker(f"units {path}", lambda: UnitEncoder(path))
+
+
 class UnitEncoder:
-    """Ids of whole texts through a ``tokenizers`` file, built inside a task."""
+    """Ids of whole texts through a ``tokenizers`` file, built inside a worker."""
 
     def __init__(self, path: str, cache_units: int = CACHE_UNITS):
         import os
@@ -59,21 +64,30 @@ class UnitEncoder:
         self.ids = np.zeros(0, np.int32)
         self.ends = np.zeros(1, np.int64)
 
-    def _codes(self, units: list[bytes]) -> np.ndarray:
-        """Numbers of units in the pool of encoded units, encoding those not seen yet."""
-        if len(self.known) + len(units) > self.cache_units:
-            self.known, self.ids, self.ends = {}, np.zeros(0, np.int32), np.zeros(1, np.int64)
-        fresh = [u for u in units if u not in self.known]
+    def _codes(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of units in a pool of encoded units, and the pool's ids and ends.
+
+        Units not seen yet are encoded. The pool that is kept takes them up to its bound; those beyond serve this
+        call alone.
+        """
+        known, ids, ends = self.known, self.ids, self.ends
+        fresh = [u for u in units if u not in known]
+        own: dict[bytes, int] = {}
         if fresh:
             encoded = self.tokenizer.encode_batch_fast([u.decode() for u in fresh], add_special_tokens=False)
             lists = [e.ids for e in encoded]
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             flat = np.fromiter((i for x in lists for i in x), np.int32, int(lengths.sum()))
-            first = len(self.ends) - 1
-            self.ids = np.concatenate([self.ids, flat])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
-            self.known.update((u, first + i) for i, u in enumerate(fresh))
-        return np.fromiter((self.known[u] for u in units), np.int64, len(units))
+            first = len(ends) - 1
+            ids = np.concatenate([ids, flat])
+            ends = np.concatenate([ends, ends[-1] + np.cumsum(lengths)])
+            room = max(0, self.cache_units - len(known))
+            known.update((u, first + i) for i, u in enumerate(fresh[:room]))
+            own = {u: first + room + i for i, u in enumerate(fresh[room:])}
+            held = first + min(room, len(fresh))
+            self.ids, self.ends = ids[: ends[held]], ends[: held + 1]
+        codes = np.fromiter((known[u] if u in known else own[u] for u in units), np.int64, len(units))
+        return codes, ids, ends
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, and the offsets of the rows; ``end_id`` closes each row."""
@@ -84,9 +98,10 @@ class UnitEncoder:
             units = pa.Array.from_buffers(
                 pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
             ).dictionary_encode()
-            codes = self._codes(units.dictionary.to_pylist())[units.indices.to_numpy()]
-            lengths = self.ends[codes + 1] - self.ends[codes]
-            flat = self.ids[ragged(self.ends[codes], lengths)]
+            codes, pool, pool_ends = self._codes(units.dictionary.to_pylist())
+            codes = codes[units.indices.to_numpy()]
+            lengths = pool_ends[codes + 1] - pool_ends[codes]
+            flat = pool[ragged(pool_ends[codes], lengths)]
             ends = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(bounds, offsets)]
         else:
             flat, ends = np.zeros(0, np.int32), np.zeros(rows + 1, np.int64)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm.bpe import UnitEncoder
+from themeloom.llm.bpe import unit_encoder
 from themeloom.llm.common import crc32_ids, keyed_texts, slices
 from themeloom.session import work_path
 
@@ -131,7 +131,7 @@ def write_store(
 
     def encode(batches):
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        encoder, doc_ids, lengths, parts = UnitEncoder(tokenizer), [], [], []
+        encoder, doc_ids, lengths, parts = unit_encoder(tokenizer), [], [], []
 
         def segment():
             nonlocal seq, before, doc_ids, lengths, parts

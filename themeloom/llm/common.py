@@ -85,6 +85,17 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         at = end
 
 
+def of_worker(name: str, make):
+    """An object that a Python worker makes once and keeps for all its tasks; it must bound itself."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_themeloom_worker", types.ModuleType("_themeloom_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def crc32_ids(ids: np.ndarray) -> int:
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.bpe import UnitEncoder
+from themeloom.llm.bpe import unit_encoder
 from themeloom.llm.common import keyed_texts, ragged, slices
 from themeloom.session import work_path
 
@@ -97,7 +97,7 @@ def write_pieces(docs: DataFrame, path: str, tokenizer: str, end_id: int, window
     """Encode whole texts, close each with ``end_id`` and write its pieces with their ids."""
 
     def encode(batches):
-        encoder = UnitEncoder(tokenizer)
+        encoder = unit_encoder(tokenizer)
         for whole in batches:
             for batch in slices(whole, "text", 4 << 20):
                 ids, ends = encoder.encode(batch.column(2), end_id)

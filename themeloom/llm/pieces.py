@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.common import keyed_texts, ragged, slices
+from themeloom.llm.common import keyed_texts, of_worker, ragged, slices
 
 SPACE = "▁"  # fixed value: stands for a blank in pieces
 CACHE_WORDS = 150_000  # words a task remembers between batches
-BLOCK_CHARS = 1 << 17  # characters indexed at once; a longer word stands alone
+BLOCK_CHARS = 1 << 18  # characters indexed at once; a longer word stands alone
 SLICE_TOKENS = 1 << 19  # ids decoded at once
 LONG_WORD = 64  # characters from which a word is merged by a queue
 UNKNOWN_PENALTY = 10.0  # below the worst score, for characters outside a unigram vocabulary
@@ -52,6 +52,7 @@ class Vocabulary:
         self.sizes = np.array([len(p) for p in self.found], np.int64)
         padded = "".join(p.ljust(self.longest, "\0") for p in self.found)
         self.letters = np.frombuffer(padded.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64).reshape(-1, self.longest)
+        self.top = int(self.letters.max(initial=0))
 
     @staticmethod
     def load(path: str, merges: bool = True) -> Vocabulary:
@@ -99,16 +100,17 @@ def edges(words: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndar
     order = np.lexsort(rows.T[::-1])
     rows = rows[order]
     letters, size, ids = vocabulary.letters, vocabulary.sizes, vocabulary.ids
-    at = np.minimum(np.searchsorted(codes, letters), len(codes) - 1)
-    known = ((codes[at] == letters) & (letters > 0)) | (np.arange(letters.shape[1]) >= size[:, None])
-    held = known.all(axis=1)
+    code_of = np.full(max(int(codes[-1]), vocabulary.top) + 1, -1, np.int32)
+    code_of[codes] = np.arange(1, len(codes) + 1)
+    code_of[0] = 0  # behind a piece
+    local = code_of[letters]
+    held = (local >= 0).all(axis=1)
     if not held.any():
         none = np.zeros(0, np.int64)
         return none, none, none
-    local, size, ids = at[held] + 1, size[held], ids[held]
-    inside = np.arange(depth)[None, :] < size[:, None]
-    low = _packed(list(np.where(inside, local, 0).T), width, per_key)
-    high = _packed(list(np.where(inside, local, above).T), width, per_key)
+    local, size, ids = local[held].astype(np.int64), size[held], ids[held]
+    low = _packed(list(local.T), width, per_key)
+    high = _packed(list(np.where(np.arange(depth)[None, :] < size[:, None], local, above).T), width, per_key)
     first, last = _search(rows, low, False), _search(rows, high, True)
     count = last - first
     start = order[ragged(first, count)]
@@ -268,11 +270,19 @@ class PieceEncoder:
             place, size = merge_words(bounds, starts, lengths, ids, v.scores) if not long.any() else self._merge_few(few, bounds, starts, lengths, ids)
             owner = np.searchsorted(bounds, place, side="right") - 1
             first = np.searchsorted(owner, np.arange(len(parts) + 1)).tolist()
-            offset = (place - bounds[owner]).tolist()
-            size = size.tolist()
+            key, total = starts * (int(bounds[-1]) + 1) + lengths, place * (int(bounds[-1]) + 1) + size
+            at = np.minimum(np.searchsorted(key, total), max(0, len(key) - 1))
+            found = np.where(key[at] == total, ids[at], -1) if len(key) else np.full(len(total), -1)
+            spelled = np.zeros(len(parts), bool)  # with a character that no piece holds
+            spelled[owner[found < 0]] = True
+            spelled, found = spelled.tolist(), found.tolist()
+            offset, size = (place - bounds[owner]).tolist(), size.tolist()
             for k in few.tolist():
-                word = parts[k]
-                self.parts[word] = tuple(i for j in range(first[k], first[k + 1]) for i in self._spell(word[offset[j] : offset[j] + size[j]]))
+                word, a, b = parts[k], first[k], first[k + 1]
+                if spelled[k]:
+                    self.parts[word] = tuple(i for j in range(a, b) for i in self._spell(word[offset[j] : offset[j] + size[j]]))
+                else:
+                    self.parts[word] = tuple(found[a:b])
         for k in np.flatnonzero(long) if v.merges else range(len(parts)):
             word, a, b, base = parts[k], cut[k], cut[k + 1], int(bounds[k])
             own = list(zip((starts[a:b] - base).tolist(), lengths[a:b].tolist(), ids[a:b].tolist()))
@@ -326,11 +336,14 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.words(t) if t else [] for t in texts]
-        if len(self.words_) > self.cache_words or len(self.parts) > self.cache_words:
-            self._forget()
+        if len(self.parts) > self.cache_words:
+            self.parts = {}
         fresh = list({w for own in cut for w in own}.difference(self.words_))
         if fresh:
-            inside = self._cut(fresh)
+            signs = [w for w in fresh if not w.lstrip(SPACE).isalpha()]
+            plain = [w for w in fresh if w.lstrip(SPACE).isalpha()]
+            fresh = plain + signs  # words of letters alone are rarely cut
+            inside = [[w] for w in plain] + (self._cut(signs) if signs else [])
             new = list(dict.fromkeys(p for own in inside for p in own if p not in self.parts))
             ends = np.cumsum([len(p) + 1 for p in new])
             at = 0
@@ -338,8 +351,13 @@ class PieceEncoder:
                 upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_CHARS, side="right")))
                 self._relax(new[at:upto])
                 at = upto
-            for word, own in zip(fresh, inside):
-                self.words_[word] = self.parts[own[0]] if len(own) == 1 else tuple(i for p in own for i in self.parts[p])
+            parts = self.parts
+            now = {w: parts[own[0]] if len(own) == 1 else tuple(i for p in own for i in parts[p]) for w, own in zip(fresh, inside)}
+            if len(self.words_) < self.cache_words:  # full: what comes serves this call alone
+                self.words_.update(now)
+            else:
+                words = self.words_
+                return [np.array([i for w in own for i in (now[w] if w in now else words[w])], np.int32) for own in cut]
         known = self.words_
         return [np.array([i for w in own for i in known[w]], np.int32) for own in cut]
 
@@ -358,7 +376,7 @@ def encode_texts(docs: DataFrame, model: str, merges: bool = True) -> DataFrame:
     """``doc_id, ids`` of whole texts; ids as an array."""
 
     def run(batches):
-        encoder = PieceEncoder(model, merges)
+        encoder = of_worker(f"pieces {model} {merges}", lambda: PieceEncoder(model, merges))
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
                 ids = encoder.encode(batch.column(1).to_pylist())
