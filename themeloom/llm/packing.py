@@ -1,9 +1,9 @@
 """Packing token streams into windows by multiway differencing.
 
-Documents are cut into full windows and a remainder, the remainder into a half, a quarter and two eighths:
-pieces of many sizes balance better than equal ones. Groups of some hundred documents are dealt by a hash, and each group's pieces are spread over m
-windows by the differencing method of Karmarkar and Karp: every piece begins as a partial partition
-(its size and m - 1 zeros), the two partitions with the widest spread are merged, the fullest window
+Documents are cut into full windows and a remainder, the remainder into a half and two quarters:
+pieces of many sizes balance better than equal ones. Groups of some hundred documents are dealt by a
+hash, and each group's pieces are spread over m windows by the differencing method of Karmarkar and
+Karp: every piece begins as a partial partition (its size and m - 1 zeros), the two partitions with the widest spread are merged, the fullest window
 of one with the emptiest of the other, until one is left. If its fullest window holds more than the
 capacity, m rises and the group is spread again.
 
@@ -26,8 +26,8 @@ from themeloom.llm.common import keyed_texts, ragged, slices
 from themeloom.session import work_path
 
 WINDOW = 1024
-PIECES_OF_REST, LEAST_PIECE = 4, 8  # a remainder's pieces, and the tokens below which none is halved
-GROUP_DOCS = 512  # documents spread together, on average
+PIECES_OF_REST, LEAST_PIECE = 3, 8  # a remainder's pieces, and the tokens below which none is halved
+GROUP_DOCS = 256  # documents spread together, on average
 SEQUENCE_BITS = 36  # a sequence id is the group's number and, in these low bits, the window's
 PIECES = "doc_key bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
