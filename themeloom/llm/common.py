@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 8 << 20  # text that one step of a Python task works on; every row is kept
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from themeloom.llm.common import keyed_texts, of_worker, ragged, slices
 
 SPACE = "▁"  # fixed value: stands for a blank in pieces
-CACHE_WORDS = 150_000  # words a task remembers between batches
-BLOCK_CHARS = 1 << 18  # characters indexed at once; a longer word stands alone
+CACHE_WORDS = 100_000  # words a task remembers between batches
+BLOCK_CHARS = 3 << 16  # characters indexed at once; a longer word stands alone
 SLICE_TOKENS = 1 << 19  # ids decoded at once
 LONG_WORD = 64  # characters from which a word is merged by a queue
 UNKNOWN_PENALTY = 10.0  # below the worst score, for characters outside a unigram vocabulary
