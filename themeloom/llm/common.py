@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 8 << 20  # text that one step of a Python task works on; every row is kept
@@ -53,11 +53,11 @@ def doc_key(docs: DataFrame):
     return F.xxhash64(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
 
 
-def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text`` alone, so that other columns and their names do not matter; a null text is empty."""
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[Column, ...] = ()) -> DataFrame:
+    """``doc_id, text`` and ``more``, so that other columns and their names do not matter; a null text is empty."""
     bounded_batches(docs.sparkSession)
     return docs.select(
-        docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text")
+        docs[id_col].cast("bigint").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), *more
     )
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.common import bounded_side, keyed_texts
+from themeloom.llm.common import bounded_side, doc_key, fresh_name, keyed_texts
 from themeloom.llm.components import components
 from themeloom.session import materialize
 
@@ -57,15 +57,20 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` of whole texts; ``fp`` holds the 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row_col: str | None = None) -> DataFrame:
+    """``doc_id, fp`` of whole texts; ``fp`` holds the 64 bits as a signed number.
+
+    With a column of row numbers, ``row`` and ``doc_key`` as well.
+    """
+    more = (F.col(row_col).alias("row"), doc_key(docs).alias("doc_key")) if row_col else ()
+    names = ["doc_id", "fp", *(("row", "doc_key") if more else ())]
 
     def run(batches):
         for batch in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names)
 
-    return keyed_texts(docs).mapInArrow(run, "doc_id bigint, fp bigint")
+    return keyed_texts(docs, more=more).mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
 def _bits_of(fps: np.ndarray) -> np.ndarray:
@@ -279,19 +284,34 @@ def links(fps: DataFrame, tau: int = TAU, m: int = PARTITIONS) -> DataFrame:
     )
 
 
+def rooted(own: DataFrame, tau: int = TAU, m: int = PARTITIONS) -> DataFrame:
+    """``fp, first_doc, root`` of the distinct fingerprints in ``doc_id, fp``; a component has one root."""
+    fps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
+    roots = materialize(components(links(fps, tau, m)).withColumnRenamed("node", "fp"), "roots")
+    return fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, tau: int = TAU, m: int = PARTITIONS, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest document id reachable through links of at most ``tau`` bits."""
     own = materialize(fingerprints(docs, shingle), "fingerprints")
-    fps = materialize(own.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
-    roots = materialize(components(links(fps, tau, m)).withColumnRenamed("node", "fp"), "roots")
-    placed = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = rooted(own, tau, m)
     least = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     labelled = materialize(placed.join(least, "root").select("fp", "component_id"), "labelled")
     return own.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents whose id is their component's, with all their columns."""
-    found = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    side = bounded_side(found.select(F.col("doc_id").alias("_id")))
-    return docs.join(side, docs["doc_id"].cast("bigint").eqNullSafe(side["_id"]), "left_anti")
+    """One row of every component, with all its columns: the first by id, rows without id last, then by ``doc_key``.
+
+    Rows are numbered and written, so that rows of one id, rows without id and repeated rows are told apart; of rows
+    equal in id and text any one stays.
+    """
+    number = fresh_name(docs, "row_number")
+    rows = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    own = materialize(fingerprints(rows, row_col=number), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_key", "row")
+    firsts = own.groupBy("fp").agg(F.min(rank).alias("rank"))
+    kept = rooted(own).join(firsts, "fp").groupBy("root").agg(F.min("rank").alias("rank")).select("rank.row")
+    gone = materialize(own.join(kept, "row", "left_anti").select(F.col("row").alias("_row")), "gone")
+    side = bounded_side(gone)
+    return rows.join(side, rows[number] == side["_row"], "left_anti").drop(number)
