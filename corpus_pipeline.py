@@ -40,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in windows."""
-    return packing.digests(*packing.pack(docs, byte_bpe(), OP4_END_ID))
+    return packing.digests(*packing.pack(docs, byte_bpe(), OP4_END_ID, special=True))
 
 
 STAGES = [

@@ -3,6 +3,9 @@
 Texts are cut where the tokenizer's own splitting rule always cuts, whatever stands around: before
 one blank or line feed between two visible characters, and between a letter and an ASCII sign.
 Everything else stays in one unit, so the ids equal those of encoding the whole text.
+
+Strings of added tokens (``<|endoftext|>``) are ordinary text, or with ``special`` the tokens themselves, as in the
+library's default; units then begin and end at them.
 """
 
 from __future__ import annotations
@@ -26,8 +29,8 @@ def _kinds() -> np.ndarray:
     return kinds
 
 
-def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where units begin, with the end of the data; every row of ``offsets`` begins a unit."""
+def unit_bounds(data: np.ndarray, offsets: np.ndarray, spans: np.ndarray | None = None) -> np.ndarray:
+    """Where units begin, with the end of the data; every row of ``offsets`` and every span is a unit's bound."""
     kind = _kinds()[data]
     lead = np.flatnonzero(data == 0xC3)  # U+00C0 to U+00FF: letters but for two signs
     lead = lead[lead < len(data) - 1]
@@ -40,25 +43,46 @@ def unit_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     gap = gap[(gap > 0) & (gap < len(kind) - 1)]
     before, after = kind[gap - 1], kind[gap + 1]
     starts[gap[(before > 0) & (before < GAP) & (after > 0) & (after < GAP)]] = True
+    if spans is not None and len(spans):
+        starts[ragged(spans[:, 0], spans[:, 1] - spans[:, 0])] = False
+        starts[spans] = True
     return np.flatnonzero(starts)
 
 
-def unit_encoder(path: str) -> UnitEncoder:
+def mark_spans(data: np.ndarray, offsets: np.ndarray, marks: list[bytes]) -> np.ndarray:
+    """Begin and end of every mark inside a row, leftmost and of those the longest."""
+    import re
+
+    any_mark = re.compile(b"|".join(re.escape(m) for m in sorted(marks, key=len, reverse=True)))
+    raw, places = data.tobytes(), offsets.tolist()
+    spans = [m.span() for a, b in zip(places, places[1:]) for m in any_mark.finditer(raw, a, b)]
+    return np.array(spans, np.int64).reshape(-1, 2)
+
+
+def unit_encoder(path: str, special: bool = False) -> UnitEncoder:
     """The encoder of this Python worker."""
-    return of_worker(f"units {path}", lambda: UnitEncoder(path))
+    return of_worker(f"units {path} {special}", lambda: UnitEncoder(path, special=special))
 
 
 class UnitEncoder:
     """Ids of whole texts through a ``tokenizers`` file, built inside a worker."""
 
-    def __init__(self, path: str, cache_units: int = CACHE_UNITS):
+    marks: tuple[bytes, ...] = ()  # strings that are tokens of their own
+
+    def __init__(self, path: str, cache_units: int = CACHE_UNITS, special: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        if special:
+            added = self.tokenizer.get_added_tokens_decoder().values()
+            if any(t.lstrip or t.rstrip or t.single_word for t in added):
+                raise ValueError("added tokens that look at their surroundings")
+            self.marks = tuple(t.content.encode() for t in added)
+        else:
+            self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cache_units = cache_units
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(0, np.int32)
@@ -94,7 +118,7 @@ class UnitEncoder:
         data, offsets = text_bytes(texts)
         rows = len(offsets) - 1
         if len(data):
-            bounds = unit_bounds(data, offsets)
+            bounds = unit_bounds(data, offsets, mark_spans(data, offsets, self.marks) if self.marks else None)
             units = pa.Array.from_buffers(
                 pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
             ).dictionary_encode()

@@ -119,9 +119,10 @@ class Segment:
 
 
 def write_store(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int, partitions: int | None = None, segment_tokens: int = SEGMENT_TOKENS
+    docs: DataFrame, path: str, tokenizer: str, end_id: int, partitions: int | None = None,
+    segment_tokens: int = SEGMENT_TOKENS, special: bool = False,
 ) -> None:
-    """Encode whole texts and write them to ``path`` in ascending order of ``doc_id``.
+    """Encode whole texts and write them to ``path`` in ascending order of ``doc_id``; ``special`` as in ``bpe``.
 
     Ranges of ids are dealt to tasks before encoding, so texts move once and ids never do. Each
     range is one file whose segments follow each other.
@@ -131,7 +132,7 @@ def write_store(
 
     def encode(batches):
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        encoder, doc_ids, lengths, parts = unit_encoder(tokenizer), [], [], []
+        encoder, doc_ids, lengths, parts = unit_encoder(tokenizer, special), [], [], []
 
         def segment():
             nonlocal seq, before, doc_ids, lengths, parts
@@ -234,10 +235,10 @@ def read_tokens(spark: SparkSession, path: str, positions: DataFrame, group: int
     return joined.select("start", "places", "body").mapInArrow(fetch, "position bigint, id bigint")
 
 
-def encode_and_read(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def encode_and_read(docs: DataFrame, tokenizer: str, end_id: int, special: bool = False) -> DataFrame:
     """Write a store into the shared folder and read its documents back."""
     path = work_path(docs.sparkSession, "codes")
-    write_store(docs, path, tokenizer, end_id)
+    write_store(docs, path, tokenizer, end_id, special=special)
     return read_documents(docs.sparkSession, path)
 
 

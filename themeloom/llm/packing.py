@@ -93,11 +93,13 @@ def spread(sizes: np.ndarray, capacity: int = WINDOW) -> tuple[np.ndarray, np.nd
     return window, offset
 
 
-def write_pieces(docs: DataFrame, path: str, tokenizer: str, end_id: int, window: int = WINDOW) -> None:
-    """Encode whole texts, close each with ``end_id`` and write its pieces with their ids."""
+def write_pieces(
+    docs: DataFrame, path: str, tokenizer: str, end_id: int, window: int = WINDOW, special: bool = False
+) -> None:
+    """Encode whole texts, close each with ``end_id`` and write its pieces with their ids; ``special`` as in ``bpe``."""
 
     def encode(batches):
-        encoder = unit_encoder(tokenizer)
+        encoder = unit_encoder(tokenizer, special)
         for whole in batches:
             for batch in slices(whole, "text", 4 << 20):
                 ids, ends = encoder.encode(batch.column(2), end_id)
@@ -154,11 +156,13 @@ def placement(pieces: DataFrame, window: int = WINDOW, group_docs: int = GROUP_D
     return grouped.groupBy("group").applyInPandas(solve, "doc_key bigint, start bigint, sequence_id bigint, offset bigint")
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, special: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Written pieces with their ids, and where each goes; join them on ``doc_key, start``."""
     spark = docs.sparkSession
     path = work_path(spark, "pieces")
-    write_pieces(docs, path, tokenizer, end_id, window)
+    write_pieces(docs, path, tokenizer, end_id, window, special)
     pieces = spark.read.schema(PIECES).parquet(path)
     return pieces, placement(pieces, window)
 

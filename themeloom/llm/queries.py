@@ -34,7 +34,7 @@ def byte_bpe() -> str:
 @query
 def op1_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as directly addressable codes, written and read back."""
-    read = codes.encode_and_read(table(spark, sf_dir, "documents"), byte_bpe(), OP1_END_ID)
+    read = codes.encode_and_read(table(spark, sf_dir, "documents"), byte_bpe(), OP1_END_ID, special=True)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
@@ -58,7 +58,7 @@ def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1,024 tokens."""
-    return packing.digests(*packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), OP4_END_ID))
+    return packing.digests(*packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), OP4_END_ID, special=True))
 
 
 @query
