@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, crf, editjoin, packing, pieces, pivots, rules, shards, simhash
+from themeloom.llm import chat, codes, collocations, crf, editjoin, packing, pieces, pivots, rules, shards, simhash
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -124,3 +124,54 @@ def op6_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     decoded = pieces.decode_texts(pieces.encode_texts(table(spark, sf_dir, "documents"), model), model)
     return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", "text")
+
+
+@query
+def op11_rollup_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collocations of every language in all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_rollup_collocations"] = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), words as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces
+), starts as (
+    select lang, ws, unnest(range(1, len(ws) + 1)) as i from words
+), sized as (
+    select lang, ws, i, unnest(range(1, 6)) as k from starts
+), phrases as materialized (
+    select lang, ws[i : i + k - 1] as p, k, count(*) as f
+    from sized where i + k - 1 <= len(ws)
+    group by all having count(*) >= 100
+), totals as (
+    select lang, sum(len(ws)) as n from words group by lang
+), candidates as (
+    select lang, p, k, f as a from phrases where k >= 2
+), placed as (
+    select lang, p, k, a, unnest(range(1, k)) as j from candidates
+), halves as materialized (
+    select lang, p, a, j, p[1 : j] as left_p, p[j + 1 : k] as right_p from placed
+), with_left as materialized (
+    select h.*, f as l from halves h join phrases x on x.lang = h.lang and x.p = h.left_p
+), with_both as materialized (
+    select h.*, f as r from with_left h join phrases x on x.lang = h.lang and x.p = h.right_p
+), cuts as (
+    select c.*, t.n, cast((1000::hugeint * a * t.n::hugeint) // (l::hugeint * r) as bigint) as score
+    from with_both c join totals t on t.lang = c.lang
+), lowest as (
+    select * from cuts qualify row_number() over (partition by lang, p order by score, j) = 1
+), inner_phrases as (
+    select lang, p[s : s + m - 1] as p, max(a) as longest
+    from (select *, unnest(range(1, k - m + 2)) as s from (select *, unnest(range(2, k)) as m from candidates))
+    group by all
+)
+select x.lang, row_number() over (partition by x.lang order by score desc, a desc, array_to_string(x.p, ' ')) as rank,
+    array_to_string(x.p, ' ') as phrase, a, l, r, cast(n as bigint) as n, score
+from lowest x left join inner_phrases i on i.lang = x.lang and i.p = x.p
+where i.longest is null or 100 * i.longest < 100 * a
+qualify rank <= 2000
+"""
