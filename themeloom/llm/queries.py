@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, collocations, crf, editjoin, packing, pieces, pivots, rules, shards, simhash
+from themeloom.llm import chat, codes, collocations, crf, editjoin, packing, pieces, pivots, rules, shards, simhash, turntrie
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -175,3 +175,43 @@ from lowest x left join inner_phrases i on i.lang = x.lang and i.p = x.p
 where i.longest is null or 100 * i.longest < 100 * a
 qualify rank <= 2000
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the branched conversations, with its members and what sharing it saves."""
+    lists = materialize(turntrie.turn_lists(table(spark, sf_dir, "conversations")), "turn-lists")
+    return turntrie.prefix_nodes(turntrie.branched(lists))
+
+
+ORACLES["op12_prefix_trie"] = """
+with own as (
+    select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+        order by turn nulls first, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as turns
+    from conversations where conv_id is not null group by conv_id
+), hashed as (
+    select *, xor(list_reduce(list_concat([4294967295], [ord(c)::bigint for c in string_split(cast(conv_id as varchar), '')]),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 as h
+    from own
+), convs as materialized (
+    select o.conv_id, list_concat(coalesce(b.turns, [])[1 : o.h], o.turns[o.h + 1 :]) as turns
+    from hashed o left join own b on b.conv_id = o.conv_id - o.conv_id % 100
+), prefixes as (
+    select conv_id, turns, unnest(range(0, len(turns) + 1)) as depth from convs
+), nodes as materialized (
+    select turns[1 : depth] as p, depth, min(conv_id) as conv_id, count(*) as n_convs,
+        sha256(coalesce(string_agg(case when len(turns) = depth then cast(conv_id as varchar) end, ',' order by conv_id), '')) as ends_sha256
+    from prefixes group by all
+), children as (
+    select p[1 : depth - 1] as p, count(*) as n_children from nodes where depth > 0 group by all
+), whole as materialized (
+    select n.*, coalesce(c.n_children, 0) as n_children, case when depth = 0 then 0 else (n_convs - 1) * length(n.p[depth].text) end as own_saved
+    from nodes n left join children c on c.p = n.p
+), below as (
+    select p[1 : d] as p, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum(own_saved) as saved_tokens
+    from (select *, unnest(range(0, depth + 1)) as d from whole) group by all
+)
+select w.conv_id, cast(w.depth as bigint) as depth, u.conv_id as parent_conv_id, w.n_convs, w.n_children,
+    cast(b.n_leaves as bigint) as n_leaves, cast(b.saved_tokens as bigint) as saved_tokens, w.ends_sha256
+from whole w join below b on b.p = w.p left join nodes u on w.depth > 0 and u.p = w.p[1 : w.depth - 1]
+"""
