@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.llm import chat, codes, collocations, crf, editjoin, packing, pieces, pivots, rules, shards, simhash, turntrie
+from themeloom.llm import chat, codes, collocations, crf, editjoin, packing, pieces, pivots, rules, shards, simhash, smallworld, turntrie
 from themeloom.llm.common import table
 from themeloom.session import materialize, work_path
 
@@ -215,3 +215,28 @@ select w.conv_id, cast(w.depth as bigint) as depth, u.conv_id as parent_conv_id,
     cast(b.n_leaves as bigint) as n_leaves, cast(b.saved_tokens as bigint) as saved_tokens, w.ends_sha256
 from whole w join below b on b.p = w.p left join nodes u on w.depth > 0 and u.p = w.p[1 : w.depth - 1]
 """
+
+
+@query
+def op13_small_world_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all vectors at a cosine of 0.9."""
+    return smallworld.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_small_world_components"] = """
+with recursive own as materialized (
+    select vec_id, list_transform(embedding, x -> cast(x as double)) as v,
+        embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+            and len([x for x in embedding if x <> 0]) > 0 as usable
+    from embeddings
+), pairs as materialized (
+    select a.vec_id as a, b.vec_id as b from own a join own b on a.usable and b.usable and a.vec_id <> b.vec_id
+        and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.9
+), reach as (
+    select vec_id as a, vec_id as b from own union select r.a, p.b from reach r join pairs p on p.a = r.b
+), found as (
+    select a as vec_id, min(b) as component_id from reach group by a
+)
+select f.vec_id, coalesce(n.n, 0) as n_links, f.component_id, f.vec_id = f.component_id as kept
+from found f left join (select a, count(*) as n from pairs group by a) n on n.a = f.vec_id
+"""
