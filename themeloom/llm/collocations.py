@@ -5,8 +5,8 @@ columns, zero beyond the piece: the padded longest window. Only these windows ar
 columns sums them to every shorter prefix, so one table holds the counts of all phrases of two words and more.
 
 Texts are read once. Each batch writes its words as numbers of a dictionary of its own; the dictionaries give the
-counts of words, and words that are frequent get their final numbers by a join, so neither vocabulary nor texts
-pass through the driver. A phrase can only be frequent if its words are, and each two neighbours in it; windows
+counts of words. Words that are frequent get their final numbers from a vocabulary whose size is counted: one that
+is small enough is broadcast, a larger one is joined to the dictionaries. A phrase can only be frequent if its words are, and each two neighbours in it; windows
 therefore end before a word, or between two words, that is not. No frequent phrase loses an occurrence by this. The
 frequent pairs are broadcast when their count allows it; beyond that windows only end at words.
 
@@ -24,6 +24,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ from themeloom.session import materialize, spread, with_dense_index
 
 ORDER, MIN_COUNT, TOP, SCALE = 5, 100, 2000, 1000
 NO_LANG = "und"
+VOCABULARY_ROWS = 4_000_000  # frequent words sent to every task, counted before; some 100 MB
+ONE_TASK_WORDS = 10_000  # frequent words numbered by one task
 WORD, BLANK, SIGN = 0, 1, 2
 BATCHES = "uid bigint, stream binary, langs array<string>, words array<string>, counts array<bigint>"
 
@@ -115,17 +118,53 @@ def frequent_words(batches: DataFrame, min_count: int = MIN_COUNT) -> tuple[Data
     ).select("uid", (F.col("local") + 1).alias("local"), F.col("e.langs").alias("lang"), F.col("e.words").alias("word"),
              F.col("e.counts").alias("n"))
     counts = entries.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-    vocab = with_dense_index(materialize(counts, "frequent-words"), [F.col("lang"), F.col("word")], "id")
+    vocab = with_dense_index(materialize(counts, "frequent-words"), [F.col("lang"), F.col("word")], "id", ONE_TASK_WORDS)
     vocab = materialize(vocab.withColumn("id", (F.col("id") + 1).cast("int")), "vocabulary")
     totals = batches.select(F.explode(F.arrays_zip("langs", "counts")).alias("e"))
     totals = totals.groupBy(F.col("e.langs").alias("lang")).agg(F.sum("e.counts").alias("n"))
     return entries, vocab, materialize(totals, "words-by-language")
 
 
-def frequent_streams(batches: DataFrame, entries: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``stream``: the batches in numbers of frequent words, zero for all else."""
+def _frequent_only(stream: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """The stream in the numbers ``place`` gives, without frequent words that have no frequent neighbour."""
+    now = place[stream]
+    beside = np.zeros(len(now), bool)  # words with a frequent neighbour, and the zero after them
+    beside[1:] |= now[:-1] > 0
+    beside[:-1] |= (now[:-1] > 0) & (now[1:] > 0)
+    return pa.record_batch([pa.array([now[beside].tobytes()], pa.binary())], ["stream"])
+
+
+def frequent_streams(batches: DataFrame, entries: DataFrame, vocab: DataFrame, broadcast_rows: int = VOCABULARY_ROWS) -> DataFrame:
+    """``stream``: the batches in numbers of frequent words, zero for all else.
+
+    A vocabulary of at most ``broadcast_rows`` words goes to every task; a larger one is joined to the dictionaries.
+    """
+    if vocab.count() <= broadcast_rows:
+        held = vocab.select("lang", "word", "id").toArrow().combine_chunks()
+        by_lang = {
+            lang: held.filter(pc.equal(held.column(0), lang)).select(["word", "id"]).combine_chunks()
+            for lang in pc.unique(held.column(0)).to_pylist()
+        }
+
+        def look_up(rows):
+            for batch in rows:
+                for r in range(batch.num_rows):
+                    langs, words = batch.column(1)[r].values, batch.column(2)[r].values
+                    place = np.zeros(len(words) + 1, "<i4")
+                    for lang in pc.unique(langs).to_pylist():
+                        own = by_lang.get(lang)
+                        if own is None:
+                            continue
+                        at = np.flatnonzero(pc.equal(langs, lang).to_numpy(zero_copy_only=False))
+                        known = pc.index_in(words.take(pa.array(at)), own.column(0).combine_chunks())
+                        place[at + 1] = pc.fill_null(own.column(1).combine_chunks().take(known), 0).to_numpy()
+                    yield _frequent_only(np.frombuffer(batch.column(0)[r].as_py(), "<i4"), place)
+
+        rows = batches.select("stream", "langs", "words")
+        return materialize(rows.mapInArrow(look_up, "stream binary"), "frequent-streams")
+
     known = entries.select("uid", "local", "lang", "word").join(vocab, ["lang", "word"]).groupBy("uid").agg(
-        F.collect_list("local").alias("locals"), F.collect_list("id").alias("ids")  # no more than one batch's words
+        F.collect_list(F.struct("local", "id")).alias("known")  # no more than one batch's words
     )
 
     def renumber(rows):
@@ -133,14 +172,10 @@ def frequent_streams(batches: DataFrame, entries: DataFrame, vocab: DataFrame) -
             for r in range(batch.num_rows):
                 stream = np.frombuffer(batch.column(0)[r].as_py(), "<i4")
                 place = np.zeros(int(stream.max(initial=0)) + 1, "<i4")
-                place[batch.column(1)[r].values.to_numpy()] = batch.column(2)[r].values.to_numpy()
-                now = place[stream]
-                beside = np.zeros(len(now), bool)  # words with a frequent neighbour, and the zero after them
-                beside[1:] |= now[:-1] > 0
-                beside[:-1] |= (now[:-1] > 0) & (now[1:] > 0)
-                yield pa.record_batch([pa.array([now[beside].tobytes()], pa.binary())], ["stream"])
-
-    joined = batches.select("uid", "stream").join(known, "uid").select("stream", "locals", "ids")
+                place[batch.column(1)[r].values.field(0).to_numpy()] = batch.column(1)[r].values.field(1).to_numpy()
+                yield _frequent_only(stream, place)
+
+    joined = batches.select("uid", "stream").join(known, "uid").select("stream", "known")
     return materialize(joined.mapInArrow(renumber, "stream binary"), "frequent-streams")
 
 
@@ -245,7 +280,8 @@ def within_longer(phrases: DataFrame) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, top: int = TOP, scale: int = SCALE, covered: int = 100
+    docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, top: int = TOP, scale: int = SCALE, covered: int = 100,
+    broadcast_rows: int = VOCABULARY_ROWS,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``top`` collocations of every language.
 
@@ -253,7 +289,7 @@ def collocations(
     """
     batches = numbered_batches(docs)
     entries, vocab, totals = frequent_words(batches, min_count)
-    streams = frequent_streams(batches, entries, vocab)
+    streams = frequent_streams(batches, entries, vocab, broadcast_rows)
     phrases = materialize(phrase_counts(streams, order, min_count), "phrases")
     kept = scored(phrases, vocab, totals, scale).join(within_longer(phrases), "ids", "left").filter(
         f"longest_f is null or 100 * longest_f < {covered} * a"

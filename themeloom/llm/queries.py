@@ -225,7 +225,7 @@ def op13_small_world_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op13_small_world_components"] = """
 with recursive own as materialized (
-    select vec_id, list_transform(embedding, x -> cast(x as double)) as v,
+    select vec_id, list_transform(embedding, lambda x: cast(x as double)) as v,
         embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
             and len([x for x in embedding if x <> 0]) > 0 as usable
     from embeddings
