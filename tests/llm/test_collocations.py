@@ -87,3 +87,4 @@ def test_lead_windows_end_at_pairs_that_are_not_allowed():
     stream = np.array([0, 1, 2, 3, 0, 1, 2], np.int32)
     columns = c.lead_windows(stream, 3, np.array([1 << 32 | 2]))
     assert [x.tolist() for x in columns] == [[1, 1], [2, 2], [0, 0]]
+    assert [x.tolist() for x in c.lead_windows(stream, 3, least=3)] == [[1], [2], [3]]

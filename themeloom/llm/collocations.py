@@ -197,8 +197,8 @@ def _counted(columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.record_batch([*(pa.array(c.astype(np.int32)) for c in own), pa.array(n.astype(np.int64))], names)
 
 
-def lead_windows(stream: np.ndarray, order: int, pairs: np.ndarray | None = None) -> list[np.ndarray]:
-    """Lead columns at every word followed by another in its window; ``pairs`` are those that may stand in one, sorted."""
+def lead_windows(stream: np.ndarray, order: int, pairs: np.ndarray | None = None, least: int = 2) -> list[np.ndarray]:
+    """Lead columns of every window of ``least`` words or more; ``pairs`` are those that may stand in one, sorted."""
     padded = np.concatenate([stream, np.zeros(order, stream.dtype)])
     goes_on = (padded[:-1] > 0) & (padded[1:] > 0)
     if pairs is not None:
@@ -206,7 +206,10 @@ def lead_windows(stream: np.ndarray, order: int, pairs: np.ndarray | None = None
         keys = padded[at].astype(np.int64) << 32 | padded[at + 1]
         place = np.searchsorted(pairs, keys)
         goes_on[at] = (place < len(pairs)) & (pairs[np.minimum(place, len(pairs) - 1)] == keys) if len(pairs) else False
-    at = np.flatnonzero(goes_on)
+    starts = goes_on
+    for k in range(1, least - 1):
+        starts = starts & np.append(goes_on[k:], np.zeros(k, bool))
+    at = np.flatnonzero(starts)
     columns, open_ = [padded[at]], np.ones(len(at), bool)
     for k in range(1, order):
         open_ = open_ & goes_on[at + k - 1]
@@ -214,33 +217,41 @@ def lead_windows(stream: np.ndarray, order: int, pairs: np.ndarray | None = None
     return columns
 
 
-def window_counts(streams: DataFrame, order: int, pairs: np.ndarray | None = None) -> DataFrame:
-    """``c0`` to the last lead column and ``n``: every padded longest window and its count."""
+def window_counts(streams: DataFrame, order: int, pairs: np.ndarray | None = None, least: int = 2) -> DataFrame:
+    """``c0`` to the last lead column and ``n``: every padded longest window of ``least`` words or more, and its count."""
     names = [f"c{i}" for i in range(order)]
 
     def run(batches):
         for batch in batches:
             for value in batch.column(0):
-                yield _counted(lead_windows(np.frombuffer(value.as_py(), "<i4"), order, pairs))
+                yield _counted(lead_windows(np.frombuffer(value.as_py(), "<i4"), order, pairs, least))
 
     rows = streams.mapInArrow(run, ", ".join(f"{c} int" for c in names) + ", n bigint")
     return rows.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(streams: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> DataFrame:
-    """``ids, f`` of all frequent phrases of 2 to ``order`` words: windows counted once, summed by ROLLUP."""
-    pairs = materialize(window_counts(streams, 2).filter(F.col("n") >= min_count).select("c0", "c1"), "frequent-pairs")
+    """``ids, f`` of all frequent phrases of 2 to ``order`` words: windows counted once, summed by ROLLUP.
+
+    Pairs are counted first, as windows of two; the longest windows then need not hold those that end after two words.
+    """
+    pairs = materialize(window_counts(streams, 2).filter(F.col("n") >= min_count), "frequent-pairs")
+    phrases = pairs.select(F.array("c0", "c1").alias("ids"), F.col("n").alias("f"))
+    if order < 3:
+        return phrases
     allowed = None
     if pairs.count() <= BROADCAST_ROWS:
-        held = pairs.toArrow()
+        held = pairs.select("c0", "c1").toArrow()
         allowed = np.sort(held.column(0).to_numpy().astype(np.int64) << 32 | held.column(1).to_numpy())
     names = [f"c{i}" for i in range(order)]
-    summed = window_counts(streams, order, allowed).rollup(*names).agg(F.sum("n").alias("f"), F.grouping_id().alias("gid"))
-    levels = [(2 ** (order - k) - 1, k) for k in range(2, order + 1)]
+    windows = window_counts(streams, order, allowed, least=3)
+    summed = windows.rollup(*names).agg(F.sum("n").alias("f"), F.grouping_id().alias("gid"))
+    levels = [(2 ** (order - k) - 1, k) for k in range(3, order + 1)]
     ids = F.coalesce(*(
         F.when((F.col("gid") == gid) & (F.col(f"c{k - 1}") > 0), F.array(*names[:k])) for gid, k in levels
     ))
-    return summed.filter(F.col("f") >= min_count).select(ids.alias("ids"), "f").filter("ids is not null")
+    longer = summed.filter(F.col("f") >= min_count).select(ids.alias("ids"), "f").filter("ids is not null")
+    return phrases.unionByName(longer)
 
 
 def scored(phrases: DataFrame, vocab: DataFrame, totals: DataFrame, scale: int = SCALE) -> DataFrame:
