@@ -9,6 +9,8 @@ independent, bounded in size, and solved in parallel, one group each.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -310,10 +312,21 @@ def select_clusters(tree: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> Data
     return tree.groupBy(F.lit(0).alias("all")).applyInPandas(_select_small, "cluster bigint, selected bigint")
 
 
-def cluster_forest(points: DataFrame, forest: DataFrame, min_size: int, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Cluster of every point ``(id)``, or -1: ``(id, cluster)``; cluster ids are arbitrary."""
-    merges = merge_tree(forest, min_size, one_task_rows)
-    selected = select_clusters(condensed_tree(merges, min_size), one_task_rows)
+@dataclass(frozen=True)
+class Clustering:
+    """Clusters of points, and the trees they come from; all tables are written."""
+
+    merges: DataFrame
+    tree: DataFrame  # cluster, parent, size, birth, stability, is_root
+    selected: DataFrame  # cluster, selected
+    clusters: DataFrame  # id, cluster
+
+
+def cluster_trees(points: DataFrame, forest: DataFrame, min_size: int, one_task_rows: int = ONE_TASK_ROWS) -> Clustering:
+    """Cluster of every point ``(id)``, or -1, with the merge tree and the condensed tree; cluster ids are arbitrary."""
+    merges = materialize(merge_tree(forest, min_size, one_task_rows), "merges")
+    tree = condensed_tree(merges, min_size)
+    selected = materialize(select_clusters(tree, one_task_rows), "selected")
     members = [
         merges.filter(F.col(f"{s}_vertex").isNotNull()).select(
             F.col(f"{s}_vertex").alias("id"), F.col("res").alias("cluster")
@@ -321,21 +334,31 @@ def cluster_forest(points: DataFrame, forest: DataFrame, min_size: int, one_task
         for s in ("left", "right")
     ]
     found = members[0].unionByName(members[1]).join(selected, "cluster").select("id", "selected")
-    return points.select("id").join(found, "id", "left").select(
+    clusters = points.select("id").join(found, "id", "left").select(
         "id", F.coalesce("selected", F.lit(OUTLIER_TOPIC)).cast("bigint").alias("cluster")
     )
+    return Clustering(merges, tree, selected, materialize(clusters, "clusters"))
 
 
-def renumber(clusters: DataFrame) -> DataFrame:
-    """Topic ids 0, 1, ... by falling size, ties by smallest member; -1 stays: ``(id, topic)``.
+def cluster_forest(points: DataFrame, forest: DataFrame, min_size: int, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """Cluster of every point ``(id)``, or -1: ``(id, cluster)``; cluster ids are arbitrary."""
+    return cluster_trees(points, forest, min_size, one_task_rows).clusters
+
+
+def cluster_numbers(clusters: DataFrame) -> DataFrame:
+    """``(cluster, topic)``: topic ids 0, 1, ... by falling size, ties by smallest member.
 
     Sorts the table of clusters, which has one row per cluster.
     """
     sizes = clusters.filter(F.col("cluster") != OUTLIER_TOPIC).groupBy("cluster").agg(
         F.count("*").alias("n"), F.min("id").alias("first")
     )
-    numbers = with_dense_index(sizes, [F.desc("n"), F.col("first")], "topic").select("cluster", "topic")
-    return clusters.join(numbers, "cluster", "left").select(
+    return with_dense_index(sizes, [F.desc("n"), F.col("first")], "topic").select("cluster", "topic")
+
+
+def renumber(clusters: DataFrame) -> DataFrame:
+    """``(id, topic)`` by ``cluster_numbers``; -1 stays."""
+    return clusters.join(cluster_numbers(clusters), "cluster", "left").select(
         "id", F.coalesce("topic", F.lit(OUTLIER_TOPIC)).cast("int").alias("topic")
     )
 
@@ -359,4 +382,4 @@ def density_clusters(
     if neighbours is None:
         neighbours = materialize(knn_graph(points, min_cluster_size, cell_rows=cell_rows), "neighbours")
     forest = spanning_tree(points, neighbours, min_cluster_size, cell_rows, one_task_rows)
-    return renumber(materialize(cluster_forest(points, forest, min_cluster_size, one_task_rows), "clusters"))
+    return renumber(cluster_forest(points, forest, min_cluster_size, one_task_rows))

@@ -7,13 +7,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, PCAModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from themeloom.functions.vectors import as_doubles, matrix, unit_rows
+from themeloom.functions.vectors import as_doubles, dot, matrix, unit_rows
 
 # Fixed values
 VECTOR_WIDTH = 64
@@ -99,19 +99,40 @@ def embed(docs: DataFrame, column: str, encoder: Encoder | None = None, keep=("d
     return slim.mapInPandas(run, f"{fields}, embedding array<double>")
 
 
-def reduce_pca(vectors: DataFrame, k: int = REDUCED_WIDTH, keep=("doc_id",)) -> DataFrame:
-    """Project to the first ``k`` principal components; narrower input passes through.
+def fit_pca(vectors: DataFrame, k: int = REDUCED_WIDTH) -> PCAModel | None:
+    """The first ``k`` principal components, or nothing for narrower input.
 
     The covariance is a width x width sum over the rows; only that small matrix is solved at once.
     """
     first = vectors.select(F.size("embedding")).head()
     if first is None or first[0] <= k:
+        return None
+    return PCA(k=k, inputCol="features", outputCol="reduced").fit(vectors.select(array_to_vector("embedding").alias("features")))
+
+
+def reduce_pca(vectors: DataFrame, k: int = REDUCED_WIDTH, keep=("doc_id",), model: PCAModel | None = None) -> DataFrame:
+    """Project to the first ``k`` principal components, given or fitted here; narrower input passes through."""
+    model = model or fit_pca(vectors, k)
+    if model is None:
         return vectors.select(*keep, "embedding")
     table = vectors.select(*keep, array_to_vector("embedding").alias("features"))
-    model = PCA(k=k, inputCol="features", outputCol="reduced").fit(table)
     return model.transform(table).select(*keep, vector_to_array("reduced").alias("embedding"))
 
 
+def axes_table(spark: SparkSession, model: PCAModel | None) -> DataFrame:
+    """``(axis, weights)``: one row per principal component, none if vectors pass through."""
+    rows = [] if model is None else [(i, [float(x) for x in w]) for i, w in enumerate(model.pc.toArray().T)]
+    return spark.createDataFrame(rows, "axis int, weights array<double>")
+
+
+def project(vectors: DataFrame, axes: DataFrame, keep=("doc_id",)) -> DataFrame:
+    """Vectors on stored axes: what ``reduce_pca`` gave for the vectors the axes were fitted on."""
+    weights = [r["weights"] for r in axes.orderBy("axis").collect()]  # one row per component
+    if not weights:
+        return vectors.select(*keep, "embedding")
+    return vectors.select(*keep, F.array(*(dot(F.col("embedding"), F.array(*map(F.lit, w))) for w in weights)).alias("embedding"))
+
+
 def centroids(topic_vectors: DataFrame) -> DataFrame:
     """Mean vector per topic, combined inside the map tasks first: ``(topic, centroid, n)``."""
     return (

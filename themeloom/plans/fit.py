@@ -4,18 +4,18 @@ from __future__ import annotations
 
 import json
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from themeloom.functions.words import OUTLIER_TOPIC, simple_label
-from themeloom.operators import assign, density, terms
+from themeloom.operators import assign, density, membership, terms
 from themeloom.operators.neighbours import knn_graph
 from themeloom.operators.profile import topic_frequency
 from themeloom.operators.rerank import rerank_keywords
 from themeloom.operators.tokens import with_ngrams, with_tokens
-from themeloom.operators.vectors import Encoder, attach_embeddings, centroids, embed, reduce_pca
+from themeloom.operators.vectors import Encoder, attach_embeddings, axes_table, centroids, embed, fit_pca, reduce_pca
 from themeloom.session import materialize
 
 NGRAMS = (1, 3)
@@ -33,6 +33,7 @@ class Components:
     n_documents: int
     largest_size: int
     settings: dict = field(default_factory=dict)  # how texts become vectors, for serving
+    axes: DataFrame | None = None  # axis, weights: how vectors become the reduced ones
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,14 @@ class TopicModel:
     words: DataFrame  # topic, rank, term, weight
     centroids: DataFrame  # topic, centroid, threshold
     params: dict = field(default_factory=dict)
+    density: membership.DensityModel | None = None  # absent in models described for given topics
+
+    def probabilities(self) -> DataFrame:
+        """``(doc_id, topic, prob)`` of every fitted document and topic."""
+        if self.density is None:
+            raise ValueError("the model was not fitted by density")
+        found = membership.memberships(self.density.points, self.density.topics)
+        return found.withColumnRenamed("id", "doc_id")
 
 
 HASHED = "hashed"
@@ -73,20 +82,35 @@ def build_components(
         source = tokens if encoder_column == "tokens" else texts
         vectors = embed(source, encoder_column, encoder)
     vectors = materialize(vectors, "vectors")
+    axes = fit_pca(vectors)
     reduced = materialize(
-        reduce_pca(vectors).select(F.col("doc_id").alias("id"), "embedding"), "reduced"
+        reduce_pca(vectors, model=axes).select(F.col("doc_id").alias("id"), "embedding"), "reduced"
     )
     neighbours = materialize(knn_graph(reduced, largest_size), "neighbours")
     first = vectors.select(F.size("embedding")).head()
     name = encoder_name if embeddings is not None or encoder is not None else HASHED
     settings = vector_settings(stopwords, first[0] if first else 0, name)
-    return Components(texts, tokens, vectors, reduced, neighbours, texts.count(), largest_size, settings)
+    table = axes_table(docs.sparkSession, axes)
+    return Components(texts, tokens, vectors, reduced, neighbours, texts.count(), largest_size, settings, table)
 
 
-def cluster(components: Components, min_cluster_size: int) -> DataFrame:
-    """``(doc_id, topic)`` for one cluster size."""
+def _check_size(components: Components, min_cluster_size: int) -> None:
     if min_cluster_size > components.largest_size:
         raise ValueError(f"neighbour graph only reaches sizes up to {components.largest_size}")
+
+
+def cluster_model(components: Components, min_cluster_size: int) -> membership.DensityModel:
+    """Topics of one cluster size with what soft membership and inference need."""
+    _check_size(components, min_cluster_size)
+    tree = density.spanning_tree(components.reduced, components.neighbours, min_cluster_size)
+    found = density.cluster_trees(components.reduced, tree, min_cluster_size)
+    model = membership.density_model(components.reduced, found, density.cluster_numbers(found.clusters), min_cluster_size)
+    return replace(model, axes=components.axes)
+
+
+def cluster(components: Components, min_cluster_size: int) -> DataFrame:
+    """``(doc_id, topic)`` for one cluster size."""
+    _check_size(components, min_cluster_size)
     found = density.density_clusters(components.reduced, min_cluster_size, components.neighbours)
     return found.select(F.col("id").alias("doc_id"), "topic")
 
@@ -147,10 +171,16 @@ def fit_topics(
     """Fit a topic model over ``(doc_id, doc)``.
 
     Without ``components`` everything is computed; with the components of a tuning run they are
-    reused and only the clustering and the descriptions are new.
+    reused and only the clustering and the descriptions are new. ``prob`` of ``topics`` is the share of the topic's peak
+    density that a document has, 0 for outliers; ``probabilities()`` gives all topics.
     """
     parts = components or build_components(docs, min_cluster_size, stopwords, embeddings)
-    topics = materialize(cluster(parts, min_cluster_size), "topics")
+    found = cluster_model(parts, min_cluster_size)
+    topics = found.points.select(F.col("id").alias("doc_id"), "topic")
     model = describe_topics(parts, topics, labels, ngrams)
     params = {**model.params, "min_cluster_size": min_cluster_size, "n_documents": parts.n_documents}
-    return TopicModel(model.topics, model.info, model.words, model.centroids, params)
+    reach = F.least(F.col("density") / F.col("peak"), F.lit(1.0))
+    members = found.points.join(found.topics.select("topic", "peak"), "topic", "left").select(
+        F.col("id").alias("doc_id"), "topic", F.coalesce(reach, F.lit(0.0)).alias("prob")
+    )
+    return replace(model, topics=members, params=params, density=found)

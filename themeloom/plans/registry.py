@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from themeloom.operators.membership import DensityModel
 from themeloom.plans.fit import TopicModel
 from themeloom.sources.documents import write_table
-from themeloom.sources.logs import append, read_log
+from themeloom.sources.logs import append, create_if_absent, read_log
 
 # Fixed values
 MODEL_NAME = "topic-model"
@@ -20,6 +21,8 @@ VERSION_SCHEMA = (
 )
 STAGE_SCHEMA = "model_name string, version int, stage string, ts timestamp"
 MODEL_TABLES = ("info", "words", "centroids")
+DENSITY_TABLES = ("points", "topics", "axes")  # of models fitted by density
+INFERENCE, BY_DENSITY = "inference", "density"
 
 
 def next_version(versions: DataFrame, name: str) -> int:
@@ -62,12 +65,23 @@ class Registry:
     def _tables(self, name: str, version: int) -> str:
         return f"{self.root}/models/{name}/version={version}"
 
+    def _claim(self, name: str) -> int:
+        """The next version that nobody else has: whoever creates its empty file first."""
+        version = next_version(self.versions(), name)
+        while not create_if_absent(self.spark, f"{self.root}/claims/{name}/version={version}"):
+            version += 1
+        return version
+
     def register(self, model: TopicModel, score: float, name: str = MODEL_NAME, params: dict | None = None) -> int:
         """Store the tables of a model and its row; returns the new version number."""
-        version = next_version(self.versions(), name)
+        version = self._claim(name)
         for table in MODEL_TABLES:
             write_table(getattr(model, table), f"{self._tables(name, version)}/{table}")
         settings = {**model.params, "n_topics": model.info.count(), **(params or {})}
+        if model.density is not None:
+            for table in DENSITY_TABLES:
+                write_table(getattr(model.density, table), f"{self._tables(name, version)}/density_{table}")
+            settings[INFERENCE] = BY_DENSITY
         row = self.spark.createDataFrame(
             [(name, version, {k: str(v) for k, v in settings.items()}, {"coherence_score": float(score)})],
             "model_name string, version int, params map<string,string>, metrics map<string,double>",
@@ -93,4 +107,8 @@ class Registry:
         read = {t: self.spark.read.parquet(f"{self._tables(name, version)}/{t}") for t in MODEL_TABLES}
         row = self.versions().filter((F.col("model_name") == name) & (F.col("version") == version)).head()
         nobody = self.spark.createDataFrame([], "doc_id bigint, topic int, prob double")
-        return TopicModel(nobody, read["info"], read["words"], read["centroids"], dict(row["params"]))
+        density = None
+        if row["params"].get(INFERENCE) == BY_DENSITY:
+            place = self._tables(name, version)
+            density = DensityModel(*(self.spark.read.parquet(f"{place}/density_{t}") for t in DENSITY_TABLES))
+        return TopicModel(nobody, read["info"], read["words"], read["centroids"], dict(row["params"]), density)

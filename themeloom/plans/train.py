@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.operators import assign
+from themeloom.operators import assign, membership
 from themeloom.operators.corpus import combine_docs, preprocess
 from themeloom.operators.tokens import with_tokens
-from themeloom.operators.vectors import VECTOR_WIDTH, Encoder, embed, hash_encoder
+from themeloom.operators.vectors import VECTOR_WIDTH, Encoder, embed, hash_encoder, project
 from themeloom.plans.fit import HASHED, TopicModel, build_components, fit_topics
 from themeloom.plans.registry import MODEL_NAME, PRODUCTION, STAGING, Registry
 from themeloom.plans.tuning import TRIALS, TuningResult, largest_trial, tune
@@ -60,10 +60,10 @@ def train_blue_green(
     return Training(baseline, first, tuned, second, tuning)
 
 
-def transform(
+def model_vectors(
     docs: DataFrame, model: TopicModel, stopwords=None, encoder: Encoder | None = None
 ) -> DataFrame:
-    """Topics of new documents ``(doc_id, doc)``: ``(doc_id, topic, prob)``.
+    """``(doc_id, embedding)`` of new documents ``(doc_id, doc)`` as the model was fitted on.
 
     Stop words and encoder are the model's own. A model fitted on vectors of another encoder needs that
     ``encoder``, over token arrays; vectors of another width than the model's are an error.
@@ -76,10 +76,42 @@ def transform(
             raise ValueError(f"the model was fitted on vectors of the encoder {name!r}: pass it")
         encoder = hash_encoder(width)
     vectors = embed(with_tokens(docs, "doc", stopwords), "tokens", encoder)
-    checked = vectors.withColumn("embedding", F.when(F.size("embedding") == width, F.col("embedding")).otherwise(
+    return vectors.withColumn("embedding", F.when(F.size("embedding") == width, F.col("embedding")).otherwise(
         F.raise_error(F.lit(f"the model's vectors have {width} numbers")).cast("array<double>")
     ))
-    return assign.assign_topics(checked, model.centroids, model.centroids.select("topic", "threshold"))
+
+
+def _points(docs: DataFrame, model: TopicModel, stopwords=None, encoder: Encoder | None = None) -> DataFrame:
+    """New documents as points ``(id, embedding)`` of the model's density space, written."""
+    points = project(model_vectors(docs, model, stopwords, encoder), model.density.axes)
+    return materialize(points.select(F.col("doc_id").cast("bigint").alias("id"), "embedding"), "points")
+
+
+def transform(
+    docs: DataFrame, model: TopicModel, stopwords=None, encoder: Encoder | None = None
+) -> DataFrame:
+    """Topics of new documents ``(doc_id, doc)``: ``(doc_id, topic, prob)``.
+
+    A model fitted by density places them by their nearest fitted document. Streams, and models described for given
+    topics, go by the nearest centroid; ``streaming.assign.assign_stream_by_density`` places streams batch by batch.
+    """
+    if model.density is None or docs.isStreaming:
+        vectors = model_vectors(docs, model, stopwords, encoder)
+        return assign.assign_topics(vectors, model.centroids, model.centroids.select("topic", "threshold"))
+    found = membership.locate(_points(docs, model, stopwords, encoder), model.density)
+    return found.select(F.col("id").alias("doc_id"), "topic", "prob")
+
+
+def transform_probabilities(
+    docs: DataFrame, model: TopicModel, stopwords=None, encoder: Encoder | None = None
+) -> DataFrame:
+    """``(doc_id, topic, prob)`` of new documents for every topic, from a model fitted by density."""
+    if model.density is None:
+        raise ValueError("the model was not fitted by density")
+    points = _points(docs, model, stopwords, encoder)
+    found = membership.locate(points, model.density).select("id", "anchor", "density")
+    rows = membership.memberships(points.join(found, "id"), model.density.topics)
+    return rows.withColumnRenamed("id", "doc_id")
 
 
 def predict(

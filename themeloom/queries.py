@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from themeloom.functions import text as X
 from themeloom.functions import words as W
 from themeloom.functions.vectors import as_doubles
-from themeloom.operators import assign, coherence, corpus, density, drift, neighbours, profile, rerank, terms, tokens, vectors
+from themeloom.operators import assign, coherence, corpus, density, drift, membership, neighbours, profile, rerank, terms, tokens, vectors
 from themeloom.operators.forest import minimum_spanning_forest
 from themeloom.plans import fit, monitor, registry, train, tuning
 from themeloom.plans.profile import profile_report
@@ -548,6 +548,39 @@ def density_clusters(spark, sf):
     return density.density_clusters(reduced, 13, one_task_rows=PIECE_ROWS).select(F.col("id").alias("doc_id"), "topic")
 
 
+def _density_model(spark, sf) -> tuple[membership.DensityModel, DataFrame]:
+    """A density model of all documents, and the axes of its points."""
+    encoded = materialize(vectors.embed(doc_tokens(spark, sf), "tokens"), "vectors")
+    axes = vectors.fit_pca(encoded)
+    reduced = vectors.reduce_pca(encoded, model=axes).select(F.col("doc_id").alias("id"), "embedding")
+    reduced = materialize(reduced, "reduced")
+    near = materialize(neighbours.knn_graph(reduced, 13), "neighbours")
+    found = density.cluster_trees(reduced, density.spanning_tree(reduced, near, 13), 13)
+    model = membership.density_model(reduced, found, density.cluster_numbers(found.clusters), 13)
+    return model, vectors.axes_table(spark, axes)
+
+
+@query
+def membership_probabilities(spark, sf):
+    """Probabilities of all topics for all documents, from exemplars and merge heights."""
+    model, _ = _density_model(spark, sf)
+    found = membership.memberships(model.points, model.topics)
+    return found.select(F.col("id").alias("doc_id"), "topic", F.round("prob", 6).alias("prob"))
+
+
+@query
+def density_inference(spark, sf):
+    """All benchmark texts placed in the density model of all documents."""
+    model, axes = _density_model(spark, sf)
+    new = table(spark, sf, "benchmark").select(
+        F.col("item_id").alias("doc_id"), X.title_line(F.col("text")).alias("Title"), F.col("text").alias("Abstract")
+    )
+    cleaned = corpus.combine_docs(corpus.preprocess(new))
+    encoded = vectors.embed(tokens.with_tokens(cleaned, "doc", STOPWORDS), "tokens")
+    points_of = materialize(vectors.project(encoded, axes).select(F.col("doc_id").alias("id"), "embedding"), "new-points")
+    return membership.locate(points_of, model).select(F.col("id").alias("doc_id"), "topic", F.round("prob", 6).alias("prob"))
+
+
 @query
 def topic_centroids(spark, sf):
     centres = vectors.centroids(labelled_vectors(spark, sf))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,3 +49,27 @@ def log_experiment(spark: SparkSession, path: str, params: dict, metrics: dict)
 
 def read_experiments(spark: SparkSession, path: str) -> DataFrame:
     return read_log(spark, path, EXPERIMENT_SCHEMA, "json")
+
+
+def create_if_absent(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; whether it was not there. Of several at once, one succeeds."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.getScheme() == "file":  # whose Hadoop form looks first and then creates
+        local = system.makeQualified(place).toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        try:
+            os.close(os.open(local, os.O_CREAT | os.O_EXCL))
+        except FileExistsError:
+            return False
+        return True
+    if system.exists(place):
+        return False
+    try:
+        system.create(place, False).close()
+    except Py4JJavaError:
+        if system.exists(place):
+            return False
+        raise
+    return True
