@@ -10,6 +10,8 @@ library's default; units then begin and end at them.
 
 from __future__ import annotations
 
+from itertools import chain, repeat
+
 import numpy as np
 import pyarrow as pa
 
@@ -59,9 +61,9 @@ def mark_spans(data: np.ndarray, offsets: np.ndarray, marks: list[bytes]) -> np.
     return np.array(spans, np.int64).reshape(-1, 2)
 
 
-def unit_encoder(path: str, special: bool = False) -> UnitEncoder:
+def unit_encoder(path: str, special: bool = False, cache_units: int = CACHE_UNITS) -> UnitEncoder:
     """The encoder of this Python worker."""
-    return of_worker(f"units {path} {special}", lambda: UnitEncoder(path, special=special))
+    return of_worker(f"units {path} {special} {cache_units}", lambda: UnitEncoder(path, cache_units, special))
 
 
 class UnitEncoder:
@@ -85,33 +87,42 @@ class UnitEncoder:
             self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cache_units = cache_units
         self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.ends = np.zeros(1, np.int64)
-
-    def _codes(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers of units in a pool of encoded units, and the pool's ids and ends.
-
-        Units not seen yet are encoded. The pool that is kept takes them up to its bound; those beyond serve this
-        call alone.
-        """
-        known, ids, ends = self.known, self.ids, self.ends
-        fresh = [u for u in units if u not in known]
-        own: dict[bytes, int] = {}
-        if fresh:
-            encoded = self.tokenizer.encode_batch_fast([u.decode() for u in fresh], add_special_tokens=False)
-            lists = [e.ids for e in encoded]
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for x in lists for i in x), np.int32, int(lengths.sum()))
-            first = len(ends) - 1
-            ids = np.concatenate([ids, flat])
-            ends = np.concatenate([ends, ends[-1] + np.cumsum(lengths)])
-            room = max(0, self.cache_units - len(known))
-            known.update((u, first + i) for i, u in enumerate(fresh[:room]))
-            own = {u: first + room + i for i, u in enumerate(fresh[room:])}
-            held = first + min(room, len(fresh))
-            self.ids, self.ends = ids[: ends[held]], ends[: held + 1]
-        codes = np.fromiter((known[u] if u in known else own[u] for u in units), np.int64, len(units))
-        return codes, ids, ends
+        self.ids = np.zeros(1 << 16, np.int32)  # pool of the known units' ids; grows by doubling
+        self.ends = np.zeros(1 << 14, np.int64)
+
+    def _remember(self, units: list[bytes], lengths: np.ndarray, flat: np.ndarray) -> None:
+        """Add units to the pool, up to its bound."""
+        first = len(self.known)
+        kept = min(max(0, self.cache_units - first), len(units))
+        if not kept:
+            return
+        begin, grown = int(self.ends[first]), int(lengths[:kept].sum())
+        if len(self.ids) < begin + grown:
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), grown), np.int32)])
+        if len(self.ends) < first + kept + 1:
+            self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), kept), np.int64)])
+        self.ids[begin : begin + grown] = flat[:grown]
+        self.ends[first + 1 : first + kept + 1] = begin + np.cumsum(lengths[:kept])
+        self.known.update(zip(units[:kept], range(first, first + kept)))
+
+    def _ids_of(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units one after the other, and where each begins, with the end. Units not known yet are encoded."""
+        known = self.known
+        codes = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
+        lengths = self.ends[codes + 1] - self.ends[np.maximum(codes, 0)]
+        at = np.flatnonzero(codes < 0)
+        fresh = [units[i] for i in at.tolist()]
+        encoded = self.tokenizer.encode_batch_fast(list(map(bytes.decode, fresh)), add_special_tokens=False)
+        lists = [e.ids for e in encoded]
+        lengths[at] = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths[at].sum()))
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(int(ends[-1]), np.int32)
+        out[ragged(ends[at], lengths[at])] = flat
+        old = np.flatnonzero(codes >= 0)
+        out[ragged(ends[old], lengths[old])] = self.ids[ragged(self.ends[codes[old]], lengths[old])]
+        self._remember(fresh, lengths[at], flat)
+        return out, ends
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, and the offsets of the rows; ``end_id`` closes each row."""
@@ -122,8 +133,8 @@ class UnitEncoder:
             units = pa.Array.from_buffers(
                 pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
             ).dictionary_encode()
-            codes, pool, pool_ends = self._codes(units.dictionary.to_pylist())
-            codes = codes[units.indices.to_numpy()]
+            pool, pool_ends = self._ids_of(units.dictionary.to_pylist())
+            codes = units.indices.to_numpy().astype(np.int64)
             lengths = pool_ends[codes + 1] - pool_ends[codes]
             flat = pool[ragged(pool_ends[codes], lengths)]
             ends = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(bounds, offsets)]

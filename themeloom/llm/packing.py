@@ -21,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.bpe import unit_encoder
+from themeloom.llm.bpe import CACHE_UNITS, unit_encoder
 from themeloom.llm.common import keyed_texts, ragged, slices
 from themeloom.session import work_path
 
 WINDOW = 1024
 PIECES_OF_REST, LEAST_PIECE = 3, 8  # a remainder's pieces, and the tokens below which none is halved
 GROUP_DOCS = 256  # documents spread together, on average
+STEP_BYTES = 4 << 20  # of texts encoded at once
 SEQUENCE_BITS = 36  # a sequence id is the group's number and, in these low bits, the window's
 PIECES = "doc_key bigint, doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 
@@ -94,14 +95,18 @@ def spread(sizes: np.ndarray, capacity: int = WINDOW) -> tuple[np.ndarray, np.nd
 
 
 def write_pieces(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int, window: int = WINDOW, special: bool = False
+    docs: DataFrame, path: str, tokenizer: str, end_id: int, window: int = WINDOW, special: bool = False,
+    cache_units: int = CACHE_UNITS, step_bytes: int = STEP_BYTES,
 ) -> None:
-    """Encode whole texts, close each with ``end_id`` and write its pieces with their ids; ``special`` as in ``bpe``."""
+    """Encode whole texts, close each with ``end_id`` and write its pieces with their ids; ``special`` as in ``bpe``.
+
+    A worker remembers ``cache_units`` encoded units, some 200 bytes each, and encodes ``step_bytes`` of texts at once.
+    """
 
     def encode(batches):
-        encoder = unit_encoder(tokenizer, special)
+        encoder = unit_encoder(tokenizer, special, cache_units)
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text", step_bytes):
                 ids, ends = encoder.encode(batch.column(2), end_id)
                 tokens = np.diff(ends)
                 sizes = [[window] * full + rest for full, rest in (cut(int(n), window) for n in tokens)]
@@ -157,12 +162,13 @@ def placement(pieces: DataFrame, window: int = WINDOW, group_docs: int = GROUP_D
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, special: bool = False
+    docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, special: bool = False,
+    cache_units: int = CACHE_UNITS, step_bytes: int = STEP_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Written pieces with their ids, and where each goes; join them on ``doc_key, start``."""
     spark = docs.sparkSession
     path = work_path(spark, "pieces")
-    write_pieces(docs, path, tokenizer, end_id, window, special)
+    write_pieces(docs, path, tokenizer, end_id, window, special, cache_units, step_bytes)
     pieces = spark.read.schema(PIECES).parquet(path)
     return pieces, placement(pieces, window)
 
