@@ -40,7 +40,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in windows."""
-    return packing.digests(*packing.pack(docs, byte_bpe(), OP4_END_ID, special=True))
+    # smaller steps and fewer remembered units than the operator's own: the stages before have their memory still
+    pieces = packing.pack(docs, byte_bpe(), OP4_END_ID, special=True, cache_units=100_000, step_bytes=2 << 20)
+    return packing.digests(*pieces)
 
 
 STAGES = [
