@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from themeloom.functions import text as X
 from themeloom.functions import words as W
 from themeloom.functions.vectors import as_doubles
-from themeloom.operators import assign, coherence, corpus, density, drift, membership, neighbours, profile, rerank, terms, tokens, vectors
+from themeloom.operators import assign, coherence, corpus, density, drift, manifold, membership, neighbours, profile, rerank, terms, tokens, vectors
 from themeloom.operators.forest import minimum_spanning_forest
 from themeloom.plans import fit, monitor, registry, train, tuning
 from themeloom.plans.profile import profile_report
@@ -581,6 +581,14 @@ def density_inference(spark, sf):
     return membership.locate(points_of, model).select(F.col("id").alias("doc_id"), "topic", F.round("prob", 6).alias("prob"))
 
 
+@query
+def reduce_spectral(spark, sf):
+    """Five spectral coordinates of the neighbour graph of all document vectors."""
+    encoded = materialize(vectors.embed(doc_tokens(spark, sf), "tokens"), "vectors")
+    layout = manifold.reduce_spectral(encoded.select(F.col("doc_id").alias("id"), "embedding"), vectors.REDUCED_WIDTH)
+    return layout.select(F.col("id").alias("doc_id"), F.posexplode("embedding").alias("dim", "value"))
+
+
 @query
 def topic_centroids(spark, sf):
     centres = vectors.centroids(labelled_vectors(spark, sf))
