@@ -1,18 +1,25 @@
 """Quality rules whose cutoffs are certified on labelled holdouts.
 
-Every rule looks at one measure of a text and rejects above (or below) a cutoff. Cutoffs differ by
-stratum. Half of the labelled documents offer candidates, the quantiles of each measure; the other half,
-the holdout, tests them: among n good documents of the stratum, k would be rejected, and a candidate
-is certified if the exact binomial tail P(X <= k), X ~ Bin(n, alpha / rules), is at most
-delta / (strata * rules * candidates). So with probability 1 - delta no stratum loses more than the share
-alpha of its good documents, whatever cutoffs are chosen (Bonferroni over all tests, a union over the
-rules). Of the certified candidates the strictest is taken; a rule without one rejects nothing there.
+Every rule looks at one measure of a text and rejects above a cutoff. Cutoffs differ by stratum. Labels count
+once per stratum and distinct text (the lowest), so copies are one observation and lie in one part. A
+quarter of them offers a path of joint cutoffs, from mild to strict: first from the worst document down to
+the largest value of a good one, then down the quantiles of the good ones. A rule takes part at a step
+only if it finds a share of the bad documents some times larger than of the good ones there.
+
+The other three quarters, the holdout, test the path: if k of its n good documents are rejected by any rule
+of a step, the step is certified when the exact binomial tail P(X <= k), X ~ Bin(n, alpha), is at most
+delta / strata. Steps are tested in their order and testing ends at the first failure, so no step costs a
+correction of its own (fixed sequence); strata share delta by Bonferroni. So with probability 1 - delta no
+stratum loses more than the share alpha of its good documents, all rules together. Any certified step
+may be used: the one that parts the offering quarter best is taken, the mildest of equals. A stratum with too
+few labels (some 220 good ones in the holdout, with four strata) rejects nothing beyond the base rules.
+Texts that are near copies but not equal count as independent.
 
 DataFrame and SQL functions only. Text never moves: measures are one pass over the documents.
 
 Nulls: a null text has no words, so it fails the base rules. Documents of a null stratum form one of
 their own, and unlabelled strata reject nothing beyond the base rules. Labels other than 0 and 1 are not
-used, repeated labels of a document count once (the lowest). An empty table gives no rows. Other columns are
+used. An empty table gives no rows. Other columns are
 ignored.
 """
 
@@ -20,7 +27,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from themeloom.llm.common import doc_key, without
@@ -33,7 +40,9 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WINDOW = 5
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
 
-ALPHA, DELTA, CANDIDATES = 0.02, 0.05, 40
+ALPHA, DELTA, CANDIDATES = 0.02, 0.05, 24
+OFFERING, LIFT = 4, 5  # one part in so many offers cutoffs; how many times larger the share of bad documents must be
+MILDEST, STRICTEST = 0.0005, 0.05  # shares of good documents above the quantiles of a path
 #: name -> measure (high is bad); all are 0 for a text without words.
 RULES = {
     "symbols": "n_symbols / word_chars", "bangs": "n_bangs / n_words", "capitals": "n_capitals / word_chars",
@@ -117,48 +126,86 @@ def binomial_tail(n: Column, k: Column, share: float) -> Column:
     return F.when(k >= n * F.lit(share), F.lit(1.0)).otherwise(F.aggregate(terms, start, add, lambda s: s["sum"]))
 
 
+def _values(rules: dict[str, str]) -> Column:
+    """The value of every rule, in their order."""
+    return F.array(*(F.coalesce(F.try_divide(*map(F.col, rule.split(" / "))), F.lit(0.0)) for rule in rules.values()))
+
+
+def paths(offered: DataFrame, rules: dict[str, str], candidates: int) -> DataFrame:
+    """``stratum, path``: per step, from mild to strict, the cutoff of every rule or null, from the offering part."""
+    long = offered.select("stratum", "quality", F.posexplode("values").alias("rule", "value"))
+    good = F.when(F.col("quality") == 1, F.col("value"))
+    mild = candidates // 2
+    strict = candidates - mild
+    shares = [MILDEST * (STRICTEST / MILDEST) ** (k / max(1, strict - 1)) for k in range(strict)]
+    ends = long.groupBy("stratum", "rule").agg(
+        F.max(good).alias("top"), F.max("value").alias("worst"),
+        F.percentile_approx(good, F.array(*(F.lit(1 - x) for x in shares)), 10_000).alias("quantiles"),
+    ).filter("top is not null")
+    falling = (F.col("top") + F.greatest(F.col("worst") - F.col("top"), F.lit(0.0)) * (1 - (k + 1) / mild) for k in range(mild))
+    grids = ends.select("stratum", "rule", F.concat(F.array(*falling), "quantiles").alias("grid"))
+    above = [F.col("value") > F.get("grid", F.lit(i)) for i in range(candidates)]
+    counted = long.join(grids, ["stratum", "rule"]).groupBy("stratum", "rule").agg(
+        F.first("grid").alias("grid"), F.count_if(F.expr("quality = 1")).alias("n_good"), F.count_if(F.expr("quality = 0")).alias("n_bad"),
+        F.array(*(F.count_if((F.col("quality") == 1) & x) for x in above)).alias("good"),
+        F.array(*(F.count_if((F.col("quality") == 0) & x) for x in above)).alias("bad"),
+    )
+    useful = "get(bad, i) * (n_good + 1) >= %d * (get(good, i) + 1) * n_bad and get(bad, i) > 0" % LIFT
+    cuts = counted.select("stratum", "rule", F.expr(f"transform(grid, (c, i) -> if({useful}, c, null))").alias("cuts"))
+    joint = cuts.groupBy("stratum").agg(F.array_sort(F.collect_list(F.struct("rule", "cuts"))).alias("by_rule"))
+    steps = f"transform(sequence(0, {candidates - 1}), i -> transform(by_rule, r -> get(r.cuts, i)))"
+    return joint.select("stratum", F.expr(steps).alias("path"))
+
+
 def cutoffs(
-    labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, candidates: int = CANDIDATES, rules: dict[str, str] = RULES
+    labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA, candidates: int = CANDIDATES, rules: dict[str, str] = RULES,
+    by: str = "doc_id",
 ) -> DataFrame:
-    """``stratum, rule, cutoff``: the strictest certified cutoff, from ``doc_id, stratum, quality`` and the measures.
+    """``stratum, rule, cutoff`` of the chosen certified step, from ``stratum, quality``, the measures and ``by``.
 
-    Good documents of both halves are counted per candidate with one pass: the rank of a value among the
-    candidates is aggregated first, and the tails are sums over at most ``candidates`` counts.
+    ``by`` names what may be labelled only once in a stratum. Documents are counted per step in one pass; all
+    later rows are strata times steps.
     """
-    values = F.explode(F.array(*(
-        F.struct(F.lit(name).alias("rule"), F.coalesce(F.try_divide(*map(F.col, rule.split(" / "))), F.lit(0.0)).alias("value"))
-        for name, rule in rules.items()
-    ))).alias("v")
-    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
-    long = labelled.filter("quality in (0, 1)").select("stratum", "quality", half.alias("half"), values).select(
-        "stratum", "quality", "half", "v.rule", "v.value"
+    known = labelled.filter("quality in (0, 1)").select("stratum", by, "quality", _values(rules).alias("values"))
+    known = known.groupBy("stratum", by).agg(F.min("quality").alias("quality"), F.min("values").alias("values"))
+    known = materialize(
+        known.select("stratum", "quality", "values", (F.pmod(F.xxhash64(by), F.lit(OFFERING)) == 0).alias("offers")), "known"
     )
-    steps = F.array(*(F.lit(1 - 0.5 ** (1 + 8 * k / (candidates - 1))) for k in range(candidates)))  # median to 0.998
-    offered = long.filter("half = 0").groupBy("stratum", "rule").agg(
-        F.array_distinct(F.sort_array(F.percentile_approx("value", steps, 10_000))).alias("grid")
-    )
-    good = long.filter("half = 1 and quality = 1").join(offered, ["stratum", "rule"])
-    counted = good.groupBy("stratum", "rule").agg(
-        F.first("grid").alias("grid"), F.count("*").alias("n"),
-        *(F.count_if(F.col("value") > F.get("grid", F.lit(i))).alias(f"k{i}") for i in range(candidates)),
+    offered = materialize(paths(known.filter("offers"), rules, candidates), "paths")
+    rejects = [
+        F.exists(F.arrays_zip("values", F.get("path", F.lit(i)).alias("cuts")), lambda x: x["values"] > x["cuts"]) for i in range(candidates)
+    ]
+
+    def share(of: str) -> Column:
+        n = F.count_if(F.expr(of))
+        return F.array(*(F.coalesce(F.try_divide(F.count_if(F.expr(of) & F.coalesce(x, F.lit(False))), n), F.lit(0.0)) for x in rejects))
+
+    counted = known.join(offered, "stratum").groupBy("stratum").agg(
+        F.first("path").alias("path"), F.count_if(F.expr("not offers and quality = 1")).alias("n"),
+        F.array(*(F.count_if(F.expr("not offers and quality = 1") & F.coalesce(x, F.lit(False))) for x in rejects)).alias("k"),
+        share("offers and quality = 0").alias("bad"), share("offers and quality = 1").alias("good"),
     )
     tests = counted.select(
-        "stratum", "rule", "n",
-        F.inline(F.arrays_zip(F.col("grid").alias("cutoff"), F.array(*(f"k{i}" for i in range(candidates))).alias("k"))),
-    ).filter("cutoff is not null")
-    strata = max(1, offered.select("stratum").distinct().count())
-    level = delta / (strata * len(rules) * candidates)
-    certified = tests.filter(binomial_tail(F.col("n"), F.col("k"), alpha / len(rules)) <= level)
-    return certified.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+        "stratum", "n", F.posexplode(F.arrays_zip("k", F.col("path").alias("cuts"), "bad", "good")).alias("step", "at")
+    ).select("stratum", "n", "step", "at.k", "at.cuts", (F.col("at.bad") - F.col("at.good")).alias("gain"))
+    strata = max(1, offered.count())
+    passed = tests.withColumn("passed", binomial_tail(F.col("n"), F.col("k"), alpha) <= delta / strata)
+    so_far = Window.partitionBy("stratum").orderBy("step")
+    certified = passed.withColumn("certified", F.min("passed").over(so_far)).filter("certified and gain > 0")
+    chosen = certified.groupBy("stratum").agg(F.max(F.struct("gain", (-F.col("step")).alias("mild"), "cuts")).alias("best"))
+    names = F.array(*map(F.lit, rules))
+    return chosen.select("stratum", F.posexplode("best.cuts").alias("i", "cutoff")).filter("cutoff is not null").select(
+        "stratum", F.get(names, F.col("i")).alias("rule"), "cutoff"
+    )
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` of every document."""
-    own = docs.select("doc_id", "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), doc_key(docs).alias("doc_key"))
-    table = materialize(measured(own, keep=("stratum", "doc_key")), "measures")
+    own = docs.select("doc_id", "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), doc_key(docs).alias("doc_key"), F.xxhash64("text").alias("text_key"))
+    table = materialize(measured(own, keep=("stratum", "doc_key", "text_key")), "measures")
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.filter("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = cutoffs(materialize(table.filter(~base_failed()).join(known, "doc_id"), "labelled"), alpha, delta)
+    chosen = cutoffs(materialize(table.filter(~base_failed()).join(known, "doc_id"), "labelled"), alpha, delta, by="text_key")
     limits = materialize(chosen.groupBy("stratum").pivot("rule", list(RULES)).agg(F.min("cutoff")), "cutoffs")
     renamed = limits.select("stratum", *(F.col(r).alias(f"max_{r}") for r in RULES))
     rejected = F.lit(False)
@@ -173,4 +220,5 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alpha: flo
 
 def passing(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
-    return without(docs, judged(docs, labels).filter(~F.col("kept")).select("doc_id", "doc_key").distinct())
+    gone = judged(docs, labels).filter(~F.col("kept")).select("doc_id", "doc_key").distinct()
+    return without(docs, materialize(gone, "rejected"))
