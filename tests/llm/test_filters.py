@@ -82,6 +82,109 @@ def test_cutoffs_are_certified_and_reject_bad_texts(spark):
     assert rules.cutoffs(table.limit(20), 0.02, 0.05, 20, only).count() == 0  # too few labels certify nothing
 
 
+def plain_cutoffs(rows, names, alpha, delta, steps):
+    """Certified cutoffs of ``(stratum, offers, quality, values)`` rows, by loops over all of them."""
+    strata = sorted({s for s, offers, q, _ in rows if offers and q == 1})
+    mild = steps // 2
+    shares = [rules.MILDEST * (rules.STRICTEST / rules.MILDEST) ** (k / (steps - mild - 1)) for k in range(steps - mild)]
+    out = {}
+    for stratum in strata:
+        part = {(o, q): [v for s, oo, qq, v in rows if (s, oo, qq) == (stratum, o, q)] for o in (True, False) for q in (0, 1)}
+        path = [[None] * len(names) for _ in range(steps)]
+        for r in range(len(names)):
+            good, bad = sorted(v[r] for v in part[True, 1]), [v[r] for v in part[True, 0]]
+            spread = max(0.0, max(good + bad) - good[-1])
+            grid = [good[-1] + spread * (1 - (k + 1) / mild) for k in range(mild)]
+            grid += [good[max(0, math.ceil((1 - x) * len(good)) - 1)] for x in shares]
+            for i, c in enumerate(grid):
+                above_good, above_bad = sum(v > c for v in good), sum(v > c for v in bad)
+                if above_bad and above_bad * (len(good) + 1) >= rules.LIFT * (above_good + 1) * len(bad):
+                    path[i][r] = c
+
+        def hits(docs, cuts):
+            return sum(any(c is not None and v > c for v, c in zip(doc, cuts)) for doc in docs)
+
+        best, n = (0.0, 0, None), len(part[False, 1])
+        for i, cuts in enumerate(path):
+            k = hits(part[False, 1], cuts)
+            tail = sum(math.comb(n, j) * alpha**j * (1 - alpha) ** (n - j) for j in range(k + 1)) if k < n * alpha else 1.0
+            if tail > delta / len(strata):
+                break
+            gain = hits(part[True, 0], cuts) / max(1, len(part[True, 0])) - hits(part[True, 1], cuts) / len(part[True, 1])
+            if gain > best[0]:
+                best = (gain, -i, cuts)
+        if best[2]:
+            out.update({(stratum, name): c for name, c in zip(names, best[2]) if c is not None})
+    return out
+
+
+def planted_measures(seed, sizes):
+    """``doc_id, stratum, quality, n_symbols, word_chars, n_words``: bad documents in two kinds, few good ones that look like them."""
+    rng, rows = random.Random(seed), []
+    for stratum, n in sizes:
+        for _ in range(n):
+            quality = int(rng.random() > 0.2)
+            odd = rng.random() < (0.004 if quality else 0.8)
+            kind = rng.random() < 0.5
+            symbols = rng.randrange(200, 400) if odd and kind else rng.randrange(0, 12)
+            chars = rng.randrange(700, 900) if odd and not kind else rng.randrange(450, 560)
+            rows.append((len(rows), stratum, quality, symbols, chars, 100))
+    return rows
+
+
+def measures_table(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id bigint, stratum string, quality int, n_symbols bigint, word_chars bigint, n_words bigint")
+    return table.withColumns({c: F.lit(0).cast("bigint") for c in rules.MEASURES if c not in table.columns})
+
+
+def test_certified_cutoffs_equal_a_plain_version_and_hold_on_fresh_documents(spark):
+    sizes = [("en", 2000), ("de", 1500), ("fr", 420), ("xx", 60)]
+    names = ["symbols", "long_words", "same_lines"]
+    only = {n: rules.RULES[n] for n in names}
+    fresh = planted_measures(99, [(s, 4000) for s, _ in sizes])
+
+    def values(r):
+        return (r[3] / r[4], r[4] / r[5], 0.0)
+
+    for seed in (1, 2):
+        rows = planted_measures(seed, sizes)
+        table = measures_table(spark, rows)
+        part = {r.doc_id: r.p == 0 for r in table.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(rules.OFFERING)).alias("p")).collect()}
+        got = {(r.stratum, r.rule): r.cutoff for r in rules.cutoffs(table, rules=only).collect()}
+        plain = plain_cutoffs([(r[1], part[r[0]], r[2], values(r)) for r in rows], names, rules.ALPHA, rules.DELTA, rules.CANDIDATES)
+        assert got.keys() == plain.keys() and all(got[k] == pytest.approx(plain[k], rel=1e-12) for k in got)
+        assert {s for s, _ in got} >= {"en", "de"} and not any(s == "xx" for s, _ in got)
+        for stratum in {s for s, _ in got}:
+            of = {q: [r for r in fresh if r[1] == stratum and r[2] == q] for q in (0, 1)}
+            lost = {
+                q: sum(any(v > got.get((stratum, n), math.inf) for n, v in zip(names, values(r))) for r in docs) / len(docs)
+                for q, docs in of.items()
+            }
+            assert lost[1] <= rules.ALPHA and lost[0] > (0.5 if stratum == "en" else 0)  # few labels find less
+
+
+def test_copies_are_one_label(spark):
+    """A thousand copies of one good text certify nothing."""
+    rows = [(i, "en", 1, 1, 500, 100) for i in range(1000)] + [(2000 + i, "en", 0, 300, 500 + i, 100) for i in range(50)]
+    table = measures_table(spark, rows).withColumn("text_key", F.when(F.col("quality") == 1, F.lit(7)).otherwise(F.col("doc_id")))
+    assert rules.cutoffs(table, by="text_key").count() == 0
+
+
+def test_kept_of_op3_is_what_the_cutoffs_say(spark):
+    """Planted texts: symbols and long words go, ordinary texts stay, and repeats of one id are judged by their own text."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(1200):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 7))) for _ in range(40)]
+        rows.append((i, " ".join(w + "$$$" if i % 4 == 0 else w for w in words), "en", *["x"] * 10))
+    rows.append((1, "### " + " ".join(f"w{i}###" for i in range(40)), "en", *["x"] * 10))
+    docs = odd_docs(spark, rows)
+    labels = labels_of(spark, [(i, int(i % 4 > 0), 0) for i in range(0, 1200)])
+    got = {(r.doc_id, r.n_symbols > 5): r.kept for r in rules.judged(docs, labels).filter("not base_failed").collect()}
+    assert all(kept == (not symbols) for (_, symbols), kept in got.items()) and len(got) == 1201
+    assert sorted(r.doc_id for r in rules.passing(docs, labels).collect()) == [i for i in range(1200) if i % 4]
+
+
 # line field
 
 
@@ -162,16 +265,16 @@ def plain_line_dedup(docs, tau=2, min_chars=16):
     first = {}
     for d in docs:
         for i, line in enumerate((d[2] or "").split("\n")):
-            if len(line) >= min_chars:
+            if line.strip(" \t\n\x0b\f\r"):
                 first.setdefault(line, (*d[:2], i))
-    lines = list(first)
+    lines = [x for x in first if len(x) >= min_chars]
     later = {
         b for k, b in enumerate(lines)
         if any(abs(len(a) - len(b)) <= tau and len(set(a) ^ set(b)) <= 2 * tau and edit_distance(a, b) <= tau for a in lines[:k])
     }
     return [
         None if t is None else "\n".join(
-            x for i, x in enumerate(t.split("\n")) if len(x) < min_chars or (first[x] == (d, k, i) and x not in later)
+            x for i, x in enumerate(t.split("\n")) if x not in first or (first[x] == (d, k, i) and x not in later)
         ) for d, k, t in docs
     ]
 
@@ -207,6 +310,19 @@ def test_line_dedup_of_odd_rows(spark):
     assert editjoin.dedup_lines(odd_docs(spark, [])).count() == 0
 
 
+def test_short_lines_go_only_if_equal_and_blank_lines_stay(spark):
+    """Short lines have no edits to spare; empty texts and lines of blanks are left as they are."""
+    rows = [(1, "Yes.\n\n \t\nNo."), (2, "Yes.\n\nYes!\nno."), (3, "No.\nNo."), (4, ""), (5, None), (6, "\n\n")]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id bigint, text string, _split string, _gone string")
+    out = editjoin.dedup_lines(docs, counts=("n_lines", "n_removed"))
+    assert out.columns == ["doc_id", "text", "_split", "_gone", "n_lines", "n_removed"]
+    got = {r.doc_id: (r.text, r._split, r.n_lines, r.n_removed) for r in out.collect()}
+    assert got == {
+        1: ("Yes.\n\n \t\nNo.", "x", 4, 0), 2: ("\nYes!\nno.", "x", 4, 1), 3: ("", "x", 2, 2), 4: ("", "x", 1, 0),
+        5: (None, "x", 0, 0), 6: ("\n\n", "x", 3, 0),
+    }
+
+
 def test_op9_query(spark, texts):
     rows = Q.op9_line_edit_join(spark, SF).collect()
     keys = {r.doc_id: r.k for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.xxhash64("doc_id", "text").alias("k")).collect()}

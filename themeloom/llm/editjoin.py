@@ -7,7 +7,8 @@ as a substring at a place that the lengths and the edits left on both sides allo
 few substrings only. What meets under a key is verified by a banded bit-parallel edit distance.
 
 Of all lines of at least ``min_chars`` code points, in the order of document id and line number, the first of
-each text stays unless its text is near one that first stands earlier; all others go. Shorter lines stay.
+each text stays unless its text is near one that first stands earlier; all others go. Of shorter lines, for which
+``tau`` edits are too many, the first of each text stays (no edit is allowed). Blank lines all stay.
 
 Few lines under a key give candidate pairs; a crowded key gives its members in blocks of bounded size,
 each compared in place, and only the lines to drop come out. Texts of lines that met nothing never move.
@@ -28,6 +29,7 @@ from themeloom.llm.common import BROADCAST_ROWS, bounded_batches, bounded_side,
 from themeloom.session import materialize
 
 TAU, MIN_CHARS = 2, 16
+BLANKS = " \t\n\x0b\f\r"
 CROWDED, BLOCK = 24, 1024  # lines under a key that are listed as pairs; lines of a block
 
 
@@ -134,11 +136,11 @@ def near(flat: np.ndarray, offsets: np.ndarray, a: np.ndarray, b: np.ndarray, ta
     return out
 
 
-def lines_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc_id, doc_key, line_no, line, h1, h2`` of all lines that take part."""
+def lines_of(docs: DataFrame) -> DataFrame:
+    """``doc_id, doc_key, line_no, line, h1, h2`` of all lines that are not blank."""
     keyed = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
     keyed = keyed.select("doc_id", F.xxhash64("doc_id", "text").alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return keyed.filter(F.char_length("line") >= min_chars).withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
+    return keyed.filter(F.btrim("line", F.lit(BLANKS)) != "").withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
 
 
 def candidates(lines: DataFrame, tau: int = TAU, crowded: int = CROWDED, block: int = BLOCK) -> DataFrame:
@@ -293,24 +295,26 @@ def dedup_lines(
     docs: DataFrame, tau: int = TAU, min_chars: int = MIN_CHARS, counts: tuple[str, str] | None = None
 ) -> DataFrame:
     """All columns of ``docs`` with the kept lines in ``text``; ``counts`` names columns for lines and removed lines."""
-    lines = lines_of(docs, min_chars)
+    lines = lines_of(docs)
+    long = lines.filter(F.char_length("line") >= min_chars)
     at = F.struct("doc_id", "doc_key", "line_no")
-    places = lines.select("h1", "h2", at.alias("at"))
-    firsts = materialize(places.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n")), "first-lines")
-    later = materialize(later_lines(lines, firsts, tau), "later-lines").withColumn("later", F.lit(True))
+    places = materialize(lines.select("h1", "h2", "doc_id", "doc_key", "line_no"), "line-places")
+    firsts = places.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n"))
+    firsts = materialize(firsts, "first-lines")
+    later = materialize(later_lines(long, firsts, tau), "later-lines").withColumn("later", F.lit(True))
     marked = firsts.join(later, ["h1", "h2"], "left").filter("n > 1 or later").select("h1", "h2", "first", "later")
-    removed = places.join(marked, ["h1", "h2"]).filter("later or at <> first").select("at.*")
+    removed = places.join(marked, ["h1", "h2"]).filter(F.col("later") | (at != F.col("first"))).select("doc_id", "doc_key", "line_no")
     removed = materialize(removed.groupBy("doc_id", "doc_key").agg(F.collect_set("line_no").alias("gone")), "removed-lines")
-    key, gone, id_ = (fresh_name(docs, n) for n in ("_key", "_gone", "_id"))
+    key, gone, id_, split = (fresh_name(docs, n) for n in ("_key", "_gone", "_id", "_split"))
     own = docs.withColumn(key, doc_key(docs))
     found = removed.select(F.col("doc_id").alias(id_), F.col("doc_key").alias("_found_key"), F.col("gone").alias(gone))
     found = bounded_side(found, BROADCAST_ROWS // 4)
     same = (own[key] == found["_found_key"]) & own["doc_id"].cast("bigint").eqNullSafe(found[id_])
-    split = F.split(own["text"].cast("string"), "\n")
-    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), found[gone]))
-    text = F.when(found[gone].isNotNull(), F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")).otherwise(own["text"])
-    sizes = (F.when(own["text"].isNotNull(), F.size(split)).otherwise(0), F.when(found[gone].isNotNull(), F.size(found[gone])).otherwise(0))
-    return own.join(found, same, "left").select(
-        *(text.alias("text") if c == "text" else own[c] for c in docs.columns),
-        *(n.alias(c) for n, c in zip(sizes, counts or ())),
+    # the split is a column of its own, made once a row; inside a lambda it would be made once a line
+    met = own.join(found, same, "left").select(
+        *(own[c] for c in docs.columns), found[gone], F.split(own["text"].cast("string"), "\n").alias(split)
     )
+    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone)))
+    text = F.when(F.col(gone).isNotNull(), F.array_join(F.transform(kept, lambda i: F.get(F.col(split), i)), "\n")).otherwise(F.col("text"))
+    sizes = (F.when(F.col("text").isNotNull(), F.size(split)).otherwise(0), F.when(F.col(gone).isNotNull(), F.size(gone)).otherwise(0))
+    return met.select(*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns), *(n.alias(c) for n, c in zip(sizes, counts or ())))
