@@ -214,7 +214,7 @@ def condensed_tree(merges: DataFrame, min_size: int) -> DataFrame:
     """One row per condensed cluster: ``(cluster, parent, size, birth, stability, is_root)``.
 
     Density is one over distance. At each merge of a cluster the side that is too small leaves it;
-    at a true split both sides do. Trees of the forest are joined at infinite distance: several
+    at a true split both sides do. Trees that no edge connects stay apart: several
     large trees are clusters born at density 0, a single one is the root, which is not selectable.
     """
     density = 1.0 / F.greatest(F.col("w"), F.lit(CLOSEST))

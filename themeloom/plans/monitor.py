@@ -38,9 +38,10 @@ def metric_row(
 
 
 def latest_drift(history: DataFrame) -> DataFrame:
-    """The newest drift record per model; no rows without history."""
+    """The newest drift record per model, of several at one time the largest; no rows without history."""
     columns = [c for c in history.columns if c != "model_name"]
-    newest = history.groupBy("model_name").agg(F.max_by(F.struct(*columns), "timestamp").alias("r"))
+    order = F.struct("timestamp", *(c for c in columns if c != "timestamp"))
+    newest = history.groupBy("model_name").agg(F.max_by(F.struct(*columns), order).alias("r"))
     return newest.select("model_name", *[F.col(f"r.{c}").alias(c) for c in columns])
 
 
