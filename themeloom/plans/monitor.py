@@ -40,7 +40,8 @@ def metric_row(
 def latest_drift(history: DataFrame) -> DataFrame:
     """The newest drift record per model, of several at one time the largest; no rows without history."""
     columns = [c for c in history.columns if c != "model_name"]
-    order = F.struct("timestamp", *(c for c in columns if c != "timestamp"))
+    maps = {f.name for f in history.schema if f.dataType.typeName() == "map"}  # maps have no order
+    order = F.struct("timestamp", *(c for c in columns if c != "timestamp" and c not in maps))
     newest = history.groupBy("model_name").agg(F.max_by(F.struct(*columns), order).alias("r"))
     return newest.select("model_name", *[F.col(f"r.{c}").alias(c) for c in columns])
 
