@@ -10,12 +10,12 @@ library's default; units then begin and end at them.
 
 from __future__ import annotations
 
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from themeloom.llm.common import of_worker, ragged, text_bytes
+from themeloom.llm.common import IdPool, dictionary_of, of_worker, ragged, text_bytes
 
 LETTER, DIGIT, SIGN, GAP = 1, 2, 3, 4
 CACHE_UNITS = 400_000  # encoded units a Python worker remembers between batches and tasks
@@ -66,7 +66,7 @@ def unit_encoder(path: str, special: bool = False, cache_units: int = CACHE_UNIT
     return of_worker(f"units {path} {special} {cache_units}", lambda: UnitEncoder(path, cache_units, special))
 
 
-class UnitEncoder:
+class UnitEncoder(IdPool):
     """Ids of whole texts through a ``tokenizers`` file, built inside a worker."""
 
     marks: tuple[bytes, ...] = ()  # strings that are tokens of their own
@@ -74,6 +74,7 @@ class UnitEncoder:
     def __init__(self, path: str, cache_units: int = CACHE_UNITS, special: bool = False):
         import os
 
+        super().__init__(cache_units)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -85,44 +86,12 @@ class UnitEncoder:
             self.marks = tuple(t.content.encode() for t in added)
         else:
             self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache_units = cache_units
-        self.known: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)  # pool of the known units' ids; grows by doubling
-        self.ends = np.zeros(1 << 14, np.int64)
-
-    def _remember(self, units: list[bytes], lengths: np.ndarray, flat: np.ndarray) -> None:
-        """Add units to the pool, up to its bound."""
-        first = len(self.known)
-        kept = min(max(0, self.cache_units - first), len(units))
-        if not kept:
-            return
-        begin, grown = int(self.ends[first]), int(lengths[:kept].sum())
-        if len(self.ids) < begin + grown:
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), grown), np.int32)])
-        if len(self.ends) < first + kept + 1:
-            self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), kept), np.int64)])
-        self.ids[begin : begin + grown] = flat[:grown]
-        self.ends[first + 1 : first + kept + 1] = begin + np.cumsum(lengths[:kept])
-        self.known.update(zip(units[:kept], range(first, first + kept)))
-
-    def _ids_of(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all units one after the other, and where each begins, with the end. Units not known yet are encoded."""
-        known = self.known
-        codes = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
-        lengths = self.ends[codes + 1] - self.ends[np.maximum(codes, 0)]
-        at = np.flatnonzero(codes < 0)
-        fresh = [units[i] for i in at.tolist()]
-        encoded = self.tokenizer.encode_batch_fast(list(map(bytes.decode, fresh)), add_special_tokens=False)
+
+    def _fresh(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(list(map(bytes.decode, units)), add_special_tokens=False)
         lists = [e.ids for e in encoded]
-        lengths[at] = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths[at].sum()))
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        out = np.empty(int(ends[-1]), np.int32)
-        out[ragged(ends[at], lengths[at])] = flat
-        old = np.flatnonzero(codes >= 0)
-        out[ragged(ends[old], lengths[old])] = self.ids[ragged(self.ends[codes[old]], lengths[old])]
-        self._remember(fresh, lengths[at], flat)
-        return out, ends
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum())), lengths
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after the other, and the offsets of the rows; ``end_id`` closes each row."""
@@ -130,11 +99,8 @@ class UnitEncoder:
         rows = len(offsets) - 1
         if len(data):
             bounds = unit_bounds(data, offsets, mark_spans(data, offsets, self.marks) if self.marks else None)
-            units = pa.Array.from_buffers(
-                pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
-            ).dictionary_encode()
-            pool, pool_ends = self._ids_of(units.dictionary.to_pylist())
-            codes = units.indices.to_numpy().astype(np.int64)
+            units, codes = dictionary_of(data, bounds)
+            pool, pool_ends = self.ids_of(units, self._fresh)
             lengths = pool_ends[codes + 1] - pool_ends[codes]
             flat = pool[ragged(pool_ends[codes], lengths)]
             ends = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(bounds, offsets)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,58 @@ def of_worker(name: str, make):
     return kept[name]
 
 
+class IdPool:
+    """Ids of units already encoded, side by side in one array that grows by doubling; at most ``cache_units`` are kept."""
+
+    def __init__(self, cache_units: int):
+        self.cache_units = cache_units
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.ends = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
+
+    def _remember(self, units: list[bytes], lengths: np.ndarray, flat: np.ndarray) -> None:
+        first = len(self.known)
+        kept = min(max(0, self.cache_units - first), len(units))
+        if not kept:
+            return
+        begin, grown = int(self.ends[first]), int(lengths[:kept].sum())
+        if len(self.ids) < begin + grown:
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), grown), np.int32)])
+        if len(self.ends) < first + kept + 1:
+            self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), kept), np.int64)])
+        self.ids[begin : begin + grown] = flat[:grown]
+        self.ends[first + 1 : first + kept + 1] = begin + np.cumsum(lengths[:kept])
+        self.known.update(zip(units[:kept], range(first, first + kept)))
+
+    def ids_of(self, units: list[bytes], encode) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units one after the other, and where each begins, with the end.
+
+        ``encode`` gives the ids of the units not known yet, one after the other, and how many each has.
+        """
+        codes = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        lengths = self.ends[codes + 1] - self.ends[np.maximum(codes, 0)]
+        at = np.flatnonzero(codes < 0)
+        fresh = [units[i] for i in at.tolist()]
+        flat, lengths[at] = encode(fresh)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(int(ends[-1]), np.int32)
+        out[ragged(ends[at], lengths[at])] = flat
+        old = np.flatnonzero(codes >= 0)
+        out[ragged(ends[old], lengths[old])] = self.ids[ragged(self.ends[codes[old]], lengths[old])]
+        self._remember(fresh, lengths[at], flat)
+        return out, ends
+
+
+def dictionary_of(data: np.ndarray, bounds: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Distinct units of bytes cut at ``bounds``, and each unit's place among them."""
+    units = pa.Array.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
+    ).dictionary_encode()
+    return units.dictionary.to_pylist(), units.indices.to_numpy().astype(np.int64)
+
+
 def crc32_ids(ids: np.ndarray) -> int:
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))

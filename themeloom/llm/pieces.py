@@ -1,6 +1,6 @@
 """Encoding and decoding with a SentencePiece vocabulary by suffix-array matching.
 
-A batch's distinct words are laid end to end and indexed by a suffix array, sorted as far as the longest piece
+The distinct parts of a batch's texts are laid end to end and indexed by a suffix array, sorted as far as the longest piece
 reaches. Every piece of the vocabulary is found by two binary searches; each occurrence is an edge from its
 first to its last place. Edges are sorted by place and length, and the text is relaxed over them:
 
@@ -8,8 +8,8 @@ first to its last place. Edges are sorted by place and length, and the text is r
   best score, the leftmost of equals, until no edge joins two neighbours;
 - a unigram vocabulary takes, place by place, the edges that give the best total score to each end.
 
-A text is cut where no piece can cross, before runs of blanks and between characters that no piece holds side
-by side; the parts are independent, and equal ones are relaxed once. Characters that no edge covers are spelled in byte pieces.
+A text is cut where no piece can cross, between characters that no piece holds side by side (so before runs of
+blanks, unless a piece spans words); the parts are independent, and equal ones are relaxed once. Characters that no edge covers are spelled in byte pieces.
 
 Nulls: a null or empty text has no ids. A document without id is encoded like any other, rows of one id
 each. Surrogates cannot occur in Spark strings. An empty table gives no rows. Other columns are ignored.
@@ -22,13 +22,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from themeloom.llm.common import keyed_texts, of_worker, ragged, slices
+from themeloom.llm.common import IdPool, dictionary_of, keyed_texts, of_worker, ragged, slices, text_bytes
 
 SPACE = "▁"  # fixed value: stands for a blank in pieces
-CACHE_WORDS = 150_000  # words a task remembers between batches
+CACHE_PARTS = 150_000  # parts a Python worker remembers between batches and tasks
+LOW_CODES = 1024  # characters whose pairs are looked up by place
 BLOCK_CHARS = 1 << 18  # characters indexed at once; a longer word stands alone
 SLICE_TOKENS = 1 << 19  # ids decoded at once
 LONG_WORD = 64  # characters from which a word is merged by a queue
@@ -67,10 +69,6 @@ class Vocabulary:
         scores = np.array([model.get_score(i) for i in range(n)])
         return Vocabulary(pieces, scores, bytes_, model.unk_id(), merges, found)
 
-    def crossing(self) -> bool:
-        """Whether a piece holds a blank after another character, so that words are not independent."""
-        return any(SPACE in p.lstrip(SPACE) for p in self.found)
-
 
 def _packed(columns, width: int, per_key: int) -> np.ndarray:
     """Rows of codes, given column by column, as rows of sortable numbers."""
@@ -235,20 +233,19 @@ def best_path(n: int, starts, lengths, ids, scores, unknown: float) -> list[tupl
     return out[::-1]
 
 
-class PieceEncoder:
+class PieceEncoder(IdPool):
     """Encoder of one task; parts relaxed once are remembered up to a bounded number."""
 
-    def __init__(self, path: str, merges: bool = True, cache_words: int = CACHE_WORDS):
-        self.vocabulary, self.cache_words = Vocabulary.load(path, merges), cache_words
-        v = self.vocabulary
-        self.whole = v.crossing()
-        # two characters that stand together in no piece: nothing crosses them
-        self.pairs = np.unique(np.array([(ord(p[k]) << 21) | ord(p[k + 1]) for p in v.found for k in range(len(p) - 1)], np.int64))
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words_: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
+    def __init__(self, path: str, merges: bool = True, cache_parts: int = CACHE_PARTS):
+        super().__init__(cache_parts)
+        self.vocabulary = Vocabulary.load(path, merges)
+        # two characters that stand together in no piece: nothing crosses them; the sign for a blank is the blank here
+        held = {p.replace(SPACE, " ")[k : k + 2] for p in self.vocabulary.found for k in range(len(p) - 1)}
+        a, b = (np.array([ord(x[k]) for x in held], np.int64) for k in range(2))
+        self.pairs = np.unique((a << 21) | b)
+        self.low_pairs = np.zeros(LOW_CODES * LOW_CODES, bool)  # the same of frequent characters, by place
+        low = (a < LOW_CODES) & (b < LOW_CODES)
+        self.low_pairs[a[low] * LOW_CODES + b[low]] = True
 
     def _spell(self, text: str) -> list[int]:
         v = self.vocabulary
@@ -258,39 +255,49 @@ class PieceEncoder:
             return [v.unknown]
         return [v.bytes_[b] for b in text.encode("utf-8", "surrogatepass")]
 
-    def _relax(self, parts: list[str]) -> None:
+    def _relax(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct parts one after the other, and how many each has."""
         v = self.vocabulary
         starts, lengths, ids = edges(parts, v)
         scores = v.scores.tolist()
         bounds = np.concatenate([[0], np.cumsum([len(w) + 1 for w in parts])])
-        cut = np.searchsorted(starts, bounds)
-        long = np.array([v.merges and len(w) > LONG_WORD for w in parts])
-        if v.merges and not long.all():
-            few = np.flatnonzero(~long)
-            place, size = merge_words(bounds, starts, lengths, ids, v.scores) if not long.any() else self._merge_few(few, bounds, starts, lengths, ids)
+        alone = np.diff(bounds) - 1 > LONG_WORD if v.merges else np.ones(len(parts), bool)
+        count, single = np.zeros(len(parts), np.int64), {}
+        if not alone.all():
+            few = np.flatnonzero(~alone)
+            place, size = merge_words(bounds, starts, lengths, ids, v.scores) if not alone.any() else self._merge_few(few, bounds, starts, lengths, ids)
             owner = np.searchsorted(bounds, place, side="right") - 1
-            first = np.searchsorted(owner, np.arange(len(parts) + 1)).tolist()
             key, total = starts * (int(bounds[-1]) + 1) + lengths, place * (int(bounds[-1]) + 1) + size
             at = np.minimum(np.searchsorted(key, total), max(0, len(key) - 1))
             found = np.where(key[at] == total, ids[at], -1) if len(key) else np.full(len(total), -1)
             spelled = np.zeros(len(parts), bool)  # with a character that no piece holds
             spelled[owner[found < 0]] = True
-            spelled, found = spelled.tolist(), found.tolist()
-            offset, size = (place - bounds[owner]).tolist(), size.tolist()
-            for k in few.tolist():
-                word, a, b = parts[k], first[k], first[k + 1]
-                if spelled[k]:
-                    self.parts[word] = tuple(i for j in range(a, b) for i in self._spell(word[offset[j] : offset[j] + size[j]]))
-                else:
-                    self.parts[word] = tuple(found[a:b])
-        for k in np.flatnonzero(long) if v.merges else range(len(parts)):
+            spelled &= ~alone
+            first = np.searchsorted(owner, np.arange(len(parts) + 1))
+            offset = place - bounds[owner]
+            for k in np.flatnonzero(spelled).tolist():
+                own = slice(first[k], first[k + 1])
+                single[k] = [i for o, n in zip(offset[own].tolist(), size[own].tolist()) for i in self._spell(parts[k][o : o + n])]
+            joined = ~(alone | spelled)
+            count[joined] = np.diff(first)[joined]
+        cut = np.searchsorted(starts, bounds)
+        for k in np.flatnonzero(alone).tolist():
             word, a, b, base = parts[k], cut[k], cut[k + 1], int(bounds[k])
             own = list(zip((starts[a:b] - base).tolist(), lengths[a:b].tolist(), ids[a:b].tolist()))
             if v.merges:
                 symbols = merge_word(len(word), {(s, n): i for s, n, i in own if n > 1}, scores)
             else:
                 symbols = best_path(len(word), *([x[c] for x in own] for c in range(3)), scores, min(scores) - UNKNOWN_PENALTY)
-            self.parts[word] = tuple(i for at, size in symbols for i in self._spell(word[at : at + size]))
+            single[k] = [i for at, size_ in symbols for i in self._spell(word[at : at + size_])]
+        for k, own in single.items():
+            count[k] = len(own)
+        ends = np.concatenate([[0], np.cumsum(count)])
+        flat = np.empty(int(ends[-1]), np.int32)
+        if not alone.all():
+            flat[ragged(ends[:-1][joined], count[joined])] = found[joined[owner]]
+        for k, own in single.items():
+            flat[ends[k] : ends[k + 1]] = own
+        return flat, count
 
     def _merge_few(self, few, bounds, starts, lengths, ids):
         """Merge some of the words: the edges of the others are left out, their symbols stay characters."""
@@ -298,68 +305,53 @@ class PieceEncoder:
         keep = np.isin(owner, few)
         return merge_words(bounds, starts[keep], lengths[keep], ids[keep], self.vocabulary.scores)
 
-    def words(self, text: str) -> list[str]:
-        """The text as the model sees it, a blank in front, cut before each run of blanks."""
-        seen = SPACE + text.replace(" ", SPACE)
-        if self.whole:
-            return [seen]
-        parts = seen.split(SPACE)
-        if "" not in parts[1:]:  # single blanks only
-            return [SPACE + p for p in parts[1:]]
-        out, run = [], 0
-        for k, part in enumerate(parts):
-            run += k > 0
-            if part:
-                out.append(SPACE * run + part)
-                run = 0
-        if run:
-            out.append(SPACE * run)
-        return out
-
-    def _cut(self, words: list[str]) -> list[list[str]]:
-        """Words cut between characters that no piece holds side by side."""
-        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        both = (flat[:-1] << 21) | flat[1:]
-        at = np.minimum(np.searchsorted(self.pairs, both), max(0, len(self.pairs) - 1))
-        apart = self.pairs[at] != both if len(self.pairs) else np.ones(len(both), bool)
-        ends = np.cumsum([len(w) for w in words])
-        apart[ends[:-1] - 1] = False
-        places = np.flatnonzero(apart) + 1
-        owner = np.searchsorted(ends, places, side="right")
-        first = np.searchsorted(owner, np.arange(len(words) + 1)).tolist()
-        local = (places - (ends - [len(w) for w in words])[owner]).tolist()
-        out = []
-        for k, word in enumerate(words):
-            cuts = [0, *local[first[k] : first[k + 1]], len(word)]
-            out.append([word[a:b] for a, b in zip(cuts, cuts[1:])] if len(cuts) > 2 else [word])
-        return out
+    def _fresh(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Index and relax parts, a block of bounded size after the other."""
+        parts = [u.decode().replace(" ", SPACE) for u in units]
+        ends = np.cumsum([len(p) + 1 for p in parts])
+        done, at = [(np.zeros(0, np.int32), np.zeros(0, np.int64))], 0
+        while at < len(parts):
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_CHARS, side="right")))
+            done.append(self._relax(parts[at:upto]))
+            at = upto
+        return tuple(np.concatenate(x) for x in zip(*done))
+
+    def _bounds(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where parts begin, with the end: at every row, and between characters that no piece holds side by side."""
+        flat = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4").astype(np.int64)
+        a, b = flat[:-1], flat[1:]
+        low = (a < LOW_CODES) & (b < LOW_CODES)
+        held = np.zeros(len(a), bool)
+        held[low] = self.low_pairs[a[low] * LOW_CODES + b[low]]
+        rest = np.flatnonzero(~low)
+        if len(rest) and len(self.pairs):
+            both = (a[rest] << 21) | b[rest]
+            held[rest] = self.pairs[np.minimum(np.searchsorted(self.pairs, both), len(self.pairs) - 1)] == both
+        starts = np.zeros(len(data) + 1, bool)
+        starts[offsets] = True
+        starts[np.flatnonzero((data & 0xC0) != 0x80)[np.flatnonzero(~held) + 1]] = True
+        return np.flatnonzero(starts)
+
+    def encode_rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after the other, and the offsets of the rows."""
+        if pc.any(pc.match_substring(texts, SPACE)).as_py():
+            texts = pc.replace_substring(texts, SPACE, " ")
+        plain, offsets = text_bytes(texts)
+        filled = np.flatnonzero(np.diff(offsets))
+        if not len(filled):
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+        data = np.insert(plain, offsets[filled], ord(" "))  # a blank in front of every text
+        offsets = offsets + np.concatenate([[0], np.cumsum(np.diff(offsets) > 0)])
+        bounds = self._bounds(data, offsets)
+        units, codes = dictionary_of(data, bounds)
+        pool, pool_ends = self.ids_of(units, self._fresh)
+        lengths = pool_ends[codes + 1] - pool_ends[codes]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.searchsorted(bounds, offsets)]
+        return pool[ragged(pool_ends[codes], lengths)], ends
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.words(t) if t else [] for t in texts]
-        if len(self.parts) > self.cache_words:
-            self.parts = {}
-        fresh = list({w for own in cut for w in own}.difference(self.words_))
-        if fresh:
-            signs = [w for w in fresh if not w.lstrip(SPACE).isalpha()]
-            plain = [w for w in fresh if w.lstrip(SPACE).isalpha()]
-            fresh = plain + signs  # words of letters alone are rarely cut
-            inside = [[w] for w in plain] + (self._cut(signs) if signs else [])
-            new = list(dict.fromkeys(p for own in inside for p in own if p not in self.parts))
-            ends = np.cumsum([len(p) + 1 for p in new])
-            at = 0
-            while at < len(new):
-                upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_CHARS, side="right")))
-                self._relax(new[at:upto])
-                at = upto
-            parts = self.parts
-            now = {w: parts[own[0]] if len(own) == 1 else tuple(i for p in own for i in parts[p]) for w, own in zip(fresh, inside)}
-            if len(self.words_) < self.cache_words:  # full: what comes serves this call alone
-                self.words_.update(now)
-            else:
-                words = self.words_
-                return [np.array([i for w in own for i in (now[w] if w in now else words[w])], np.int32) for own in cut]
-        known = self.words_
-        return [np.array([i for w in own for i in known[w]], np.int32) for own in cut]
+        flat, ends = self.encode_rows(pa.array(texts, pa.string()))
+        return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def decode(vocabulary: Vocabulary, ids: np.ndarray) -> str:
@@ -379,11 +371,9 @@ def encode_texts(docs: DataFrame, model: str, merges: bool = True) -> DataFrame:
         encoder = of_worker(f"pieces {model} {merges}", lambda: PieceEncoder(model, merges))
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
-                ids = encoder.encode(batch.column(1).to_pylist())
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                flat, offsets = encoder.encode_rows(batch.column(1))
                 yield pa.record_batch(
-                    [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "ids"]
+                    [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))], ["doc_id", "ids"]
                 )
 
     return keyed_texts(docs).mapInArrow(run, "doc_id bigint, ids array<int>")
