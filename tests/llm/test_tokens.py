@@ -163,6 +163,29 @@ def test_pieces_equal_the_library(texts):
         assert pieces.decode(encoder.vocabulary, ids) == model.decode(model.encode(text))
 
 
+def test_pieces_beyond_the_remembered_parts():
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    encoder = pieces.PieceEncoder(PIECES, cache_parts=3)
+    batches = [["a few words, more than three", "", "a▁few  \x00 words"], ["more words, 漢字 and a few", "w" * 90], [""], ["\u2581", " "]]
+    for texts in batches + batches[::-1]:
+        assert [x.tolist() for x in encoder.encode(texts)] == model.encode(texts)
+        assert len(encoder.known) <= 3
+
+
+def test_cut_texts_keep_the_best_total():
+    encoder = pieces.PieceEncoder(PIECES, merges=False)
+    v = encoder.vocabulary
+    scores, unknown = v.scores.tolist(), float(v.scores.min()) - pieces.UNKNOWN_PENALTY
+    texts = ["The theory of everything, and of more.", "naïve  words 123"]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        whole = "▁" + text.replace(" ", "▁")
+        starts, lengths, edge_ids = (x.tolist() for x in pieces.edges([whole], v))
+        path = pieces.best_path(len(whole), starts, lengths, edge_ids, scores, unknown)
+        best = sum(scores[v.found[whole[a : a + n]]] for a, n in path)
+        assert v.scores[ids].sum() == pytest.approx(best)
+        assert pieces.decode(v, ids) == text
+
+
 def test_long_words_and_queue():
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     texts = ["x" * 3000 + " tail", "thetion" * 300, " " * 100 + "end", "漢" * 200]
