@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from themeloom.operators import neighbours
+from themeloom.operators import neighbours, rerank, terms
+from themeloom.plans import fit
 
 
 @pytest.fixture
@@ -44,3 +46,57 @@ def test_tiles_hold_near_cells_up_to_their_size():
     tile = neighbours._tiles(pivots, np.array([5, 5, 5, 5]), 10)
     assert tile[0] == tile[2] != tile[1] == tile[3]
     assert len(set(neighbours._tiles(pivots, np.array([5, 5, 5, 50]), 10).tolist())) == 3
+
+
+def _topic_tokens(spark):
+    rows = [
+        (0, 0, "ant bee ant cow".split()), (1, 0, "bee bee dog".split()), (2, 1, "ant dog dog elk".split()),
+        (3, 1, []), (4, 2, []), (5, -1, "elk fox".split()), (6, 1, ["ant"]),
+    ]
+    return spark.createDataFrame(rows, "doc_id bigint, topic int, tokens array<string>")
+
+
+def test_weighted_rows_hold_weights_and_scores(spark):
+    own = _topic_tokens(spark)
+    rows = terms.weighted_rows(own)
+    weights = terms.ctfidf(terms.class_tf(own))
+    flat = lambda df: [x for row in sorted(map(tuple, df.collect())) for x in row if not isinstance(x, str)]
+    assert len(flat(weights)) == 27 and flat(terms.row_weights(rows)) == pytest.approx(flat(weights))
+    assert flat(terms.row_scores(rows)) == pytest.approx(flat(terms.representative_scores(own, weights)))
+
+
+def test_description_writes_tokens_not_ngrams(spark, written, monkeypatch):
+    own = _topic_tokens(spark)
+    vectors = own.select("doc_id", F.array(F.lit(1.0), F.col("doc_id").cast("double")).alias("embedding"))
+    docs = own.select("doc_id", F.array_join("tokens", " ").alias("doc"))
+    parts = fit.Components(docs, own.select("doc_id", "tokens"), vectors, vectors, vectors, 0, 0)
+    arrays = []
+    keep = fit.materialize
+
+    def noted(df, name="table"):
+        if "tokens" in df.columns:
+            arrays.append(df.agg(F.sum(F.size("tokens"))).head()[0])
+        return keep(df, name)
+
+    monkeypatch.setattr(fit, "materialize", noted)
+    fit.describe_topics(parts, own.select("doc_id", "topic"))
+    assert arrays == [14]  # the tokens of all documents, without their runs
+
+
+def test_only_candidate_terms_meet_vectors(spark):
+    own = _topic_tokens(spark)
+    vectors = own.select("doc_id", F.array(F.lit(1.0), F.col("doc_id").cast("double")).alias("embedding"))
+    best = spark.createDataFrame([(0, 0), (1, 2)], "topic int, doc_id bigint")
+    candidates = spark.createDataFrame([(0, "ant"), (1, "dog")], "topic int, term string")
+    joined = []
+    mean = rerank._mean_vector
+    try:
+        rerank._mean_vector = lambda df, *keys: (joined.append((keys, df)), mean(df, *keys))[1]
+        rerank.rerank_keywords(candidates, own.select("doc_id", "tokens"), vectors, best).collect()
+    finally:
+        rerank._mean_vector = mean
+    rows = next(df for keys, df in joined if keys == ("term",))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # the join with the candidates lies below the join with the vectors
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "doc_id" in joins[0] and "term" in joins[1]
