@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from themeloom.operators import neighbours, rerank, terms
+from themeloom.operators import coherence, neighbours, rerank, terms
 from themeloom.plans import fit
 
 
@@ -100,3 +100,18 @@ def test_only_candidate_terms_meet_vectors(spark):
     # the join with the candidates lies below the join with the vectors
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert "doc_id" in joins[0] and "term" in joins[1]
+
+
+def test_window_pairs_are_neither_sorted_nor_sent(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    texts = [(int(i) // 2 if i < 6 else int(i), [f"w{x}" for x in rng.integers(0, 12, rng.integers(0, 40))]) for i in range(30)]
+    texts.append((None, ["w1", "w2"]))  # ids may repeat or be missing: such rows are one document, as before
+    docs = spark.createDataFrame(texts, "doc_id bigint, tokens array<string>")
+    words = [(t, r + 1, f"w{(3 * t + r) % 12}") for t in (-1, 0, 1, 2) for r in range(5)] + [(3, 1, "unknown")]
+    listed = spark.createDataFrame(words, "topic int, rank int, term string")
+    plain = coherence._joined_unions(docs, coherence._scored_terms(listed, 4), 7)
+    monkeypatch.setattr(coherence, "PAIR_ROWS", 40)
+    found = coherence.window_unions(docs, listed, 7, 4)
+    assert found.schema["rank_a"].dataType == plain.schema["rank_a"].dataType
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
