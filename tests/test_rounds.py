@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from themeloom import session
 from themeloom.operators import density, forest
 
 
@@ -61,3 +62,8 @@ def test_ranges_are_contracted_in_two_tables_each(spark, tree, monkeypatch):
     written = _counting(monkeypatch)
     assert merges(16) == whole
     assert len([n for n in written if n != "links"]) <= 2 * 5 + 2  # 399 ranks are halved five times
+
+
+def test_written_tables_are_packed_with_zstd(spark):
+    table = session.materialize(spark.range(10), "packed")
+    assert all(".zstd." in f for f in table.inputFiles()) and table.count() == 10
