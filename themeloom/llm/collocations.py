@@ -2,7 +2,8 @@
 
 Texts are cut into pieces at signs and line ends, pieces into words. At every word the next words stand in lead
 columns, zero beyond the piece: the padded longest window. Only these windows are counted, and ROLLUP over the
-columns sums them to every shorter prefix, so one table holds the counts of all phrases of two words and more.
+columns sums them to every shorter prefix, so one table holds the counts of all phrases of two words and more. Windows
+travel packed to the bucket of their first words, which counts them and drops ends that are not frequent.
 
 Texts are read once. Each batch writes its words as numbers of a dictionary of its own; the dictionaries give the
 counts of words. Words that are frequent get their final numbers from a vocabulary whose size is counted: one that
@@ -35,6 +36,7 @@ ORDER, MIN_COUNT, TOP, SCALE = 5, 100, 2000, 1000
 NO_LANG = "und"
 VOCABULARY_ROWS = 4_000_000  # frequent words sent to every task, counted before; some 100 MB
 ONE_TASK_WORDS = 10_000  # frequent words numbered by one task
+BUCKET_WORDS = 8_000_000  # words of the texts whose windows one bucket counts, on average
 WORD, BLANK, SIGN = 0, 1, 2
 BATCHES = "uid bigint, stream binary, langs array<string>, words array<string>, counts array<bigint>"
 
@@ -179,22 +181,69 @@ def frequent_streams(batches: DataFrame, entries: DataFrame, vocab: DataFrame, b
     return materialize(joined.mapInArrow(renumber, "stream binary"), "frequent-streams")
 
 
-def _counted(columns: list[np.ndarray]) -> pa.RecordBatch:
-    """Distinct rows of number columns and how often each occurs."""
-    names = [f"c{i}" for i in range(len(columns))] + ["n"]
-    if not len(columns[0]):
-        return pa.record_batch([pa.array([], pa.int32())] * len(columns) + [pa.array([], pa.int64())], names)
+def _summed(columns: list[np.ndarray], n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of number columns, sorted, and their counts added up."""
+    n = np.ones(len(columns[0]), np.int64) if n is None else n
+    if not len(n):
+        return columns, n
     if len(columns) == 2:
-        keys, n = np.unique(columns[0].astype(np.int64) << 32 | columns[1], return_counts=True)
-        own = [keys >> 32, keys & 0xFFFFFFFF]
+        order = np.argsort(columns[0].astype(np.int64) << 32 | columns[1], kind="stable")
     else:
         order = np.lexsort(columns[::-1])
-        own = [c[order] for c in columns]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = np.any([c[1:] != c[:-1] for c in own], axis=0)
-        at = np.flatnonzero(fresh)
-        own, n = [c[at] for c in own], np.diff(np.append(at, len(order)))
-    return pa.record_batch([*(pa.array(c.astype(np.int32)) for c in own), pa.array(n.astype(np.int64))], names)
+    own, n = [c[order] for c in columns], n[order]
+    at = np.flatnonzero(_fresh(own))
+    return [c[at] for c in own], np.add.reduceat(n, at)
+
+
+def _fresh(columns: list[np.ndarray]) -> np.ndarray:
+    """Whether a sorted row differs from the one before."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return fresh
+
+
+def _dealt(columns: list[np.ndarray], n: np.ndarray, lead: int, buckets: int):
+    """``bucket, size, record``: sorted rows by the hash of their first ``lead`` numbers, packed column by column."""
+    mixed = np.zeros(len(n), np.uint64)
+    for c in columns[:lead]:
+        mixed = (mixed ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    bucket = mixed % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+    table = np.stack([*columns, np.minimum(n, np.iinfo(np.int32).max)]).astype("<i4")[:, order]  # a batch holds fewer words
+    codec = pa.Codec("zstd")
+    for b in np.flatnonzero(np.diff(ends)).tolist():
+        part = table[:, ends[b] : ends[b + 1]]
+        part = np.concatenate([np.diff(part[:1], axis=1, prepend=0), part[1:]]).astype("<i4")  # the first number hardly changes
+        raw = np.ascontiguousarray(np.ascontiguousarray(part).view(np.uint8).reshape(*part.shape, 4).transpose(0, 2, 1))
+        yield b, raw.size, codec.compress(raw.tobytes(), asbytes=True)
+
+
+def _opened(record: bytes, size: int, width: int) -> np.ndarray:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(record, size, asbytes=True), np.uint8).reshape(width, 4, -1)
+    table = np.ascontiguousarray(raw.transpose(0, 2, 1)).view("<i4")[:, :, 0].copy()
+    table[0] = np.cumsum(table[0], dtype="<i4")
+    return table
+
+
+def _shortened(columns: list[np.ndarray], n: np.ndarray, least: int, min_count: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sorted windows up to their longest beginning that occurs ``min_count`` times, if that has ``least`` words or more.
+
+    All windows with a common beginning of ``least`` words have to be given.
+    """
+    columns = [c.copy() for c in columns]
+    for k in range(len(columns), least - 1, -1):
+        at = np.flatnonzero(_fresh(columns[:k]))
+        rare = np.repeat(np.add.reduceat(n, at) < min_count, np.diff(at, append=len(n)))
+        if k > least:
+            columns[k - 1][rare] = 0
+        else:
+            columns, n = [c[~rare] for c in columns], n[~rare]
+        if not len(n):
+            break
+        columns, n = _summed(columns, n)
+    return columns, n
 
 
 def lead_windows(stream: np.ndarray, order: int, pairs: np.ndarray | None = None, least: int = 2) -> list[np.ndarray]:
@@ -217,17 +266,37 @@ def lead_windows(stream: np.ndarray, order: int, pairs: np.ndarray | None = None
     return columns
 
 
-def window_counts(streams: DataFrame, order: int, pairs: np.ndarray | None = None, least: int = 2) -> DataFrame:
-    """``c0`` to the last lead column and ``n``: every padded longest window of ``least`` words or more, and its count."""
+def window_counts(
+    streams: DataFrame, order: int, min_count: int, pairs: np.ndarray | None = None, least: int = 2, bucket_words: int = BUCKET_WORDS
+) -> DataFrame:
+    """``c0`` to the last lead column and ``n``: every padded longest window of ``least`` words or more, and its count.
+
+    Batches deal their windows, packed, to buckets by the first ``least`` words; the number of buckets follows the words. A
+    window is shortened there to its longest beginning that occurs ``min_count`` times, or goes if that is too short.
+    """
     names = [f"c{i}" for i in range(order)]
+    words = (streams.agg(F.sum(F.length("stream"))).head()[0] or 0) // 4
+    buckets = max(streams.sparkSession.sparkContext.defaultParallelism, -(-words // bucket_words))
 
-    def run(batches):
+    def deal(batches):
         for batch in batches:
             for value in batch.column(0):
-                yield _counted(lead_windows(np.frombuffer(value.as_py(), "<i4"), order, pairs, least))
+                columns, n = _summed(lead_windows(np.frombuffer(value.as_py(), "<i4"), order, pairs, least))
+                rows = list(_dealt(columns, n, least, buckets)) if len(n) else []
+                if rows:
+                    yield pa.record_batch(
+                        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], ["bucket", "size", "record"]
+                    )
+
+    def count(group: pa.Table) -> pa.Table:
+        parts = zip(group.column("record").to_pylist(), group.column("size").to_pylist())
+        held = np.concatenate([_opened(record, size, order + 1) for record, size in parts], axis=1)
+        columns, n = _summed(list(held[:-1]), held[-1].astype(np.int64))
+        columns, n = _shortened(columns, n, least, min_count)
+        return pa.table([*(pa.array(c, pa.int32()) for c in columns), pa.array(n, pa.int64())], [*names, "n"])
 
-    rows = streams.mapInArrow(run, ", ".join(f"{c} int" for c in names) + ", n bigint")
-    return rows.groupBy(*names).agg(F.sum("n").alias("n"))
+    dealt = streams.mapInArrow(deal, "bucket int, size bigint, record binary")
+    return dealt.groupBy("bucket").applyInArrow(count, ", ".join(f"{c} int" for c in names) + ", n bigint")
 
 
 def phrase_counts(streams: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> DataFrame:
@@ -235,7 +304,7 @@ def phrase_counts(streams: DataFrame, order: int = ORDER, min_count: int = MIN_C
 
     Pairs are counted first, as windows of two; the longest windows then need not hold those that end after two words.
     """
-    pairs = materialize(window_counts(streams, 2).filter(F.col("n") >= min_count), "frequent-pairs")
+    pairs = materialize(window_counts(streams, 2, min_count), "frequent-pairs")
     phrases = pairs.select(F.array("c0", "c1").alias("ids"), F.col("n").alias("f"))
     if order < 3:
         return phrases
@@ -244,7 +313,7 @@ def phrase_counts(streams: DataFrame, order: int = ORDER, min_count: int = MIN_C
         held = pairs.select("c0", "c1").toArrow()
         allowed = np.sort(held.column(0).to_numpy().astype(np.int64) << 32 | held.column(1).to_numpy())
     names = [f"c{i}" for i in range(order)]
-    windows = window_counts(streams, order, allowed, least=3)
+    windows = window_counts(streams, order, min_count, allowed, least=3)
     summed = windows.rollup(*names).agg(F.sum("n").alias("f"), F.grouping_id().alias("gid"))
     levels = [(2 ** (order - k) - 1, k) for k in range(3, order + 1)]
     ids = F.coalesce(*(
