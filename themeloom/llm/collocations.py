@@ -22,6 +22,7 @@ are ignored.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,9 @@ ORDER, MIN_COUNT, TOP, SCALE = 5, 100, 2000, 1000
 NO_LANG = "und"
 VOCABULARY_ROWS = 4_000_000  # frequent words sent to every task, counted before; some 100 MB
 ONE_TASK_WORDS = 10_000  # frequent words numbered by one task
-BUCKET_WORDS = 8_000_000  # words of the texts whose windows one bucket counts, on average
+BUCKET_WORDS = 2_000_000  # words of the texts whose windows one bucket counts, on average
+ADDED_ROWS = 1 << 19  # windows of a bucket that are opened before they are added up
+GROUP_ROWS = 8  # batches of texts in a Parquet row group, which is read at once
 WORD, BLANK, SIGN = 0, 1, 2
 BATCHES = "uid bigint, stream binary, langs array<string>, words array<string>, counts array<bigint>"
 
@@ -110,7 +113,7 @@ def numbered_batches(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         F.coalesce(docs[lang_col].cast("string"), F.lit(NO_LANG)).alias("lang"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     ))
-    return materialize(texts.mapInArrow(number, BATCHES), "numbered-words")
+    return materialize(texts.mapInArrow(number, BATCHES), "numbered-words", GROUP_ROWS)
 
 
 def frequent_words(batches: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -163,7 +166,7 @@ def frequent_streams(batches: DataFrame, entries: DataFrame, vocab: DataFrame, b
                     yield _frequent_only(np.frombuffer(batch.column(0)[r].as_py(), "<i4"), place)
 
         rows = batches.select("stream", "langs", "words")
-        return materialize(rows.mapInArrow(look_up, "stream binary"), "frequent-streams")
+        return materialize(rows.mapInArrow(look_up, "stream binary"), "frequent-streams", GROUP_ROWS)
 
     known = entries.select("uid", "local", "lang", "word").join(vocab, ["lang", "word"]).groupBy("uid").agg(
         F.collect_list(F.struct("local", "id")).alias("known")  # no more than one batch's words
@@ -178,7 +181,7 @@ def frequent_streams(batches: DataFrame, entries: DataFrame, vocab: DataFrame, b
                 yield _frequent_only(stream, place)
 
     joined = batches.select("uid", "stream").join(known, "uid").select("stream", "known")
-    return materialize(joined.mapInArrow(renumber, "stream binary"), "frequent-streams")
+    return materialize(joined.mapInArrow(renumber, "stream binary"), "frequent-streams", GROUP_ROWS)
 
 
 def _summed(columns: list[np.ndarray], n: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
@@ -190,15 +193,43 @@ def _summed(columns: list[np.ndarray], n: np.ndarray | None = None) -> tuple[lis
         order = np.argsort(columns[0].astype(np.int64) << 32 | columns[1], kind="stable")
     else:
         order = np.lexsort(columns[::-1])
-    own, n = [c[order] for c in columns], n[order]
-    at = np.flatnonzero(_fresh(own))
-    return [c[at] for c in own], np.add.reduceat(n, at)
+    n = n[order]
+    fresh = np.zeros(len(n), bool)
+    fresh[:1] = True
+    for c in columns:  # one column at a time is held in order
+        own = c[order]
+        fresh[1:] |= own[1:] != own[:-1]
+    at = np.flatnonzero(fresh)
+    order = order[at]
+    return [c[order] for c in columns], np.add.reduceat(n, at)
+
+
+def _added_up(records: Iterator[tuple[bytes | pa.Buffer, int]], width: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """All windows of packed records, sorted, and their counts; what is open grows with the distinct windows."""
+    held, n = [np.zeros(0, "<i4")] * width, np.zeros(0, np.int64)
+    parts, rows = [], 0
+
+    def merged() -> tuple[list[np.ndarray], np.ndarray]:
+        columns = [np.concatenate([held[i], *(p[i] for p in parts)]) for i in range(width)]
+        counts = np.concatenate([n, *(p[width] for p in parts)])
+        parts.clear()
+        return _summed(columns, counts)
+
+    for record, size in records:
+        parts.append(_opened(record, size, width + 1))
+        rows += parts[-1].shape[1]
+        if rows >= max(ADDED_ROWS, len(n)):
+            held, n = merged()
+            rows = 0
+    return merged() if parts else (held, n)
 
 
 def _fresh(columns: list[np.ndarray]) -> np.ndarray:
     """Whether a sorted row differs from the one before."""
-    fresh = np.ones(len(columns[0]), bool)
-    fresh[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[:1] = True
+    for c in columns:
+        fresh[1:] |= c[1:] != c[:-1]
     return fresh
 
 
@@ -220,7 +251,7 @@ def _dealt(columns: list[np.ndarray], n: np.ndarray, lead: int, buckets: int):
         yield b, raw.size, codec.compress(raw.tobytes(), asbytes=True)
 
 
-def _opened(record: bytes, size: int, width: int) -> np.ndarray:
+def _opened(record: bytes | pa.Buffer, size: int, width: int) -> np.ndarray:
     raw = np.frombuffer(pa.Codec("zstd").decompress(record, size, asbytes=True), np.uint8).reshape(width, 4, -1)
     table = np.ascontiguousarray(raw.transpose(0, 2, 1)).view("<i4")[:, :, 0].copy()
     table[0] = np.cumsum(table[0], dtype="<i4")
@@ -232,12 +263,12 @@ def _shortened(columns: list[np.ndarray], n: np.ndarray, least: int, min_count:
 
     All windows with a common beginning of ``least`` words have to be given.
     """
-    columns = [c.copy() for c in columns]
+    columns = list(columns)
     for k in range(len(columns), least - 1, -1):
         at = np.flatnonzero(_fresh(columns[:k]))
         rare = np.repeat(np.add.reduceat(n, at) < min_count, np.diff(at, append=len(n)))
         if k > least:
-            columns[k - 1][rare] = 0
+            columns[k - 1] = np.where(rare, 0, columns[k - 1])
         else:
             columns, n = [c[~rare] for c in columns], n[~rare]
         if not len(n):
@@ -289,10 +320,8 @@ def window_counts(
                     )
 
     def count(group: pa.Table) -> pa.Table:
-        parts = zip(group.column("record").to_pylist(), group.column("size").to_pylist())
-        held = np.concatenate([_opened(record, size, order + 1) for record, size in parts], axis=1)
-        columns, n = _summed(list(held[:-1]), held[-1].astype(np.int64))
-        columns, n = _shortened(columns, n, least, min_count)
+        records = zip((r.as_buffer() for r in group.column("record")), group.column("size").to_pylist())
+        columns, n = _shortened(*_added_up(records, order), least, min_count)
         return pa.table([*(pa.array(c, pa.int32()) for c in columns), pa.array(n, pa.int64())], [*names, "n"])
 
     dealt = streams.mapInArrow(deal, "bucket int, size bigint, record binary")
