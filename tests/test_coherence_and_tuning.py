@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from themeloom.operators import coherence
+from themeloom.operators import coherence, density, neighbours
 from themeloom.plans import tuning
 
 
@@ -76,3 +76,13 @@ def test_best_trial_and_ties(spark):
     assert tuple(tuning.select_min_cluster(none).head()) == (5, 0.0)
     mixed = spark.createDataFrame([(9, 0.1), (5, nan), (7, 0.2)], "min_cluster_size int, coherence_score double")
     assert tuning.valid_sizes(mixed).head()[0] == [7, 9]
+
+
+def test_trials_share_the_pairs_of_the_neighbour_graph(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    points = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(60, 3)))], "id bigint, embedding array<double>")
+    near = neighbours.knn_graph(points, 6).cache()
+    pairs = neighbours.undirected_pairs(near).cache()
+    alone = [sorted(map(tuple, density.density_clusters(points, k, near).collect())) for k in (3, 5)]
+    monkeypatch.setattr(neighbours, "undirected_pairs", None)  # made for every trial before
+    assert [sorted(map(tuple, density.density_clusters(points, k, near, pairs=pairs).collect())) for k in (3, 5)] == alone
